@@ -1,0 +1 @@
+"""Intentionally empty: the reporting surface is batch only, so there is no streaming operator."""
