@@ -22,6 +22,10 @@ WHITE_SPACE = (
 ACCENTED = "áéíóúñ"
 PLAIN = "aeioun"
 
+# Small letters without a one-letter capital. A title-cased word that starts
+# with one keeps it as it is, where full case mapping would write two letters.
+NO_CAPITAL = "\u00df\u0149\u01f0\u0390\u03b0\u0587\u1e96\u1e97\u1e98\u1e99\u1e9a"
+
 # A Unicode noncharacter, so it cannot clash with text meant for interchange.
 _MARK = "\ufdd0"
 
@@ -34,19 +38,29 @@ def trim_text(col: Column) -> Column:
     return F.btrim(col, F.lit(WHITE_SPACE))
 
 
+def _shield(col: Column) -> Column:
+    """Put a mark before word-initial letters without a capital, so that the mark is capitalised."""
+    return F.regexp_replace(col, f"(^| )(?=[{NO_CAPITAL}])", f"$1{_MARK}")
+
+
+def _unmark(col: Column) -> Column:
+    return F.translate(col, _MARK, "")
+
+
 def title_words(col: Column, delimiters: str = WORD_BREAKS) -> Column:
     """Title case that restarts after every delimiter.
 
-    ``initcap`` restarts after a space only, so a marker and a space are put behind each
-    delimiter and taken out again: three code-generated expressions, no lambda.
+    ``initcap`` restarts after a space only, so a mark and a space are put behind each
+    delimiter and taken out again: code-generated expressions only, no lambda.
     """
     spaced = F.regexp_replace(col, f"({_char_class(delimiters)})", f"$1{_MARK} ")
-    return F.replace(F.initcap(spaced), F.lit(f"{_MARK} "), F.lit(""))
+    return _unmark(F.replace(F.initcap(_shield(spaced)), F.lit(f"{_MARK} "), F.lit("")))
 
 
 def title_words_split(col: Column) -> Column:
     """Title case by splitting on spaces, mapping each word and joining again."""
-    return F.array_join(F.transform(F.split(col, " "), F.initcap), " ")
+    words = F.transform(F.split(col, " "), lambda word: F.initcap(_shield(word)))
+    return _unmark(F.array_join(words, " "))
 
 
 def strip_chars(col: Column, chars: str) -> Column:
