@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import Column
@@ -33,9 +34,27 @@ def days_overdue(first_overdue: Column, as_of: date) -> Column:
     return F.datediff(F.lit(as_of), first_overdue)
 
 
-# ISO text is parsed by a cast; these are tried after it.
+# ISO text needs no format; these are accepted as well.
 DATE_FORMATS = ("dd/MM/yyyy", "dd-MM-yyyy")
 
+_FIELDS = ("yyyy", "MM", "dd", "HH", "mm", "ss")
+
+
+def _to_iso(text: Column, fmt: str) -> Column:
+    """Text of exactly this format rewritten as ISO text; other text stays as it is.
+
+    Rewriting leaves one cast to do, where a parser per format would fail row by row.
+    """
+    order = sorted((f for f in _FIELDS if f in fmt), key=fmt.index)
+    group = {f: f"${i + 1}" for i, f in enumerate(order)}
+    pattern = re.escape(fmt)
+    for f in order:
+        pattern = pattern.replace(f, rf"(\d{{{len(f)}}})", 1)
+    iso = "-".join(group[f] for f in _FIELDS[:3])
+    if "HH" in group:
+        iso += " " + ":".join(group.get(f, "00") for f in _FIELDS[3:])
+    return F.regexp_replace(text, f"^{pattern}$", iso)
+
 
 def norm_date(col: Column, dtype: T.DataType, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
     """Date or time to a wall-clock timestamp without zone; what does not parse is NULL."""
@@ -45,10 +64,6 @@ def norm_date(col: Column, dtype: T.DataType, formats: tuple[str, ...] = DATE_FO
     text = F.regexp_replace(
         F.trim(col), r"(\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*(?:Z|[+-]\d{2}:?\d{2})$", "$1"
     )
-    tries = [text.try_cast("timestamp_ntz")]
     for fmt in formats:
-        if "H" in fmt:
-            tries.append(F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz"))
-        else:
-            tries.append(F.try_to_date(text, fmt).cast("timestamp_ntz"))
-    return F.coalesce(*tries)
+        text = _to_iso(text, fmt)
+    return text.try_cast("timestamp_ntz")

@@ -40,26 +40,30 @@ def trim_text(col: Column) -> Column:
 
 def _shield(col: Column) -> Column:
     """Put a mark before word-initial letters without a capital, so that the mark is capitalised."""
-    return F.regexp_replace(col, f"(^| )(?=[{NO_CAPITAL}])", f"$1{_MARK}")
+    shielded = F.regexp_replace(col, f"(^| )(?=[{NO_CAPITAL}])", f"$1{_MARK}")
+    return F.when(col.rlike(f"[{NO_CAPITAL}]"), shielded).otherwise(col)
 
 
 def _unmark(col: Column) -> Column:
-    return F.translate(col, _MARK, "")
+    return F.replace(col, F.lit(_MARK), F.lit(""))
 
 
 def title_words(col: Column, delimiters: str = WORD_BREAKS) -> Column:
-    """Title case that restarts after every delimiter.
+    """Title case that restarts after a space and after every delimiter.
 
     ``initcap`` restarts after a space only, so a mark and a space are put behind each
-    delimiter and taken out again: code-generated expressions only, no lambda.
+    other delimiter and taken out again: code-generated expressions only, no lambda.
     """
-    spaced = F.regexp_replace(col, f"({_char_class(delimiters)})", f"$1{_MARK} ")
+    others = delimiters.replace(" ", "")
+    if not others:
+        return _unmark(F.initcap(_shield(col)))
+    spaced = F.regexp_replace(col, f"({_char_class(others)})", f"$1{_MARK} ")
     return _unmark(F.replace(F.initcap(_shield(spaced)), F.lit(f"{_MARK} "), F.lit("")))
 
 
 def title_words_split(col: Column) -> Column:
     """Title case by splitting on spaces, mapping each word and joining again."""
-    words = F.transform(F.split(col, " "), lambda word: F.initcap(_shield(word)))
+    words = F.transform(F.split(_shield(col), " "), F.initcap)
     return _unmark(F.array_join(words, " "))
 
 

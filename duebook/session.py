@@ -25,7 +25,8 @@ def shuffle_partitions(shuffled_bytes: int, target_bytes: int = 128 << 20, floor
 
 def apply_runtime_options(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_OPTIONS.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -15,14 +15,25 @@ class Store(Protocol):
 
 @dataclass(frozen=True)
 class FileStore:
-    """One folder or file per table, Parquet unless told otherwise."""
+    """One folder or file per table, Parquet unless told otherwise.
+
+    ``schemas`` pins a table's columns, which saves reading a footer for each scan. A table
+    is opened once per store: its files are listed once, however many entities use it.
+    """
 
     root: str
     suffix: str = ".parquet"
     format: str = "parquet"
+    schemas: Mapping[str, str] = field(default_factory=dict)
+    _opened: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def scan(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.format(self.format).load(f"{self.root}/{table}{self.suffix}")
+        if table not in self._opened:
+            reader = spark.read.format(self.format)
+            if table in self.schemas:
+                reader = reader.schema(self.schemas[table])
+            self._opened[table] = reader.load(f"{self.root}/{table}{self.suffix}")
+        return self._opened[table]
 
 
 @dataclass(frozen=True)

@@ -25,9 +25,29 @@ SHARE = "cast({0} as decimal(4,2))"
 NET = f"{PRICE} * (cast(1 as decimal(4,2)) - {SHARE.format('l_discount')})"
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
+def files(sf_dir: str) -> FileStore:
+    return FileStore(sf_dir, schemas=SCHEMAS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     apply_runtime_options(spark)
-    return FileStore(sf_dir).scan(spark, name)
+    return files(sf_dir).scan(spark, name)
 
 
 def _brand(t: Callable[[str], DataFrame]) -> DataFrame:
@@ -64,13 +84,12 @@ VIEWS = {
 class TestdataStore:
     """The given files, and the few joined views that stand for tables flattened upstream."""
 
-    root: str
+    files: FileStore
 
     def scan(self, spark: SparkSession, table: str) -> DataFrame:
-        files = FileStore(self.root)
         if table in VIEWS:
-            return VIEWS[table](lambda name: files.scan(spark, name))
-        return files.scan(spark, table)
+            return VIEWS[table](lambda name: self.files.scan(spark, name))
+        return self.files.scan(spark, table)
 
 
 SALE = {
@@ -338,16 +357,13 @@ RULES = Rules(
 
 
 def system(sf_dir: str) -> System:
-    return System("lake", TestdataStore(sf_dir), ENTITIES)
+    return System("lake", TestdataStore(files(sf_dir)), ENTITIES)
 
 
 def context(spark: SparkSession, sf_dir: str, rules: Rules = RULES, as_of: date = AS_OF) -> Context:
     apply_runtime_options(spark)
-    store = TestdataStore(sf_dir)
+    lake = system(sf_dir)
     registry = Registry(
-        spark,
-        [system(sf_dir)],
-        {"brand": (store, BRAND), "seller": (store, SELLER)},
-        id_scope="global",
+        spark, [lake], {"brand": (lake.store, BRAND), "seller": (lake.store, SELLER)}, id_scope="global"
     )
     return Context(registry, as_of, rules)

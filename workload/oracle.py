@@ -15,14 +15,18 @@ BREAKS = " \t\n\x0b\f\r[](){}/|\\<>!?@\"^#$&~_,.:;*%+-"
 CLASS = "".join(("\\" + c) if c in "[]\\^-" else c for c in BREAKS)
 
 
+# The engine writes a capital sharp s, which simple case mapping does not have: keep the small one.
+TITLE_WORD = "case when w[1:1] = 'ß' then 'ß' else upper(w[1:1]) end || lower(w[2:])"
+
+
 def title(x: str) -> str:
     pieces = f"regexp_extract_all({x}, '[{CLASS}]+|[^{CLASS}]+')"
-    return f"array_to_string(list_transform({pieces}, lambda w: upper(w[1:1]) || lower(w[2:])), '')"
+    return f"array_to_string(list_transform({pieces}, lambda w: {TITLE_WORD}), '')"
 
 
 def title_space(x: str) -> str:
     words = f"string_split({x}, ' ')"
-    return f"array_to_string(list_transform({words}, lambda w: upper(w[1:1]) || lower(w[2:])), ' ')"
+    return f"array_to_string(list_transform({words}, lambda w: {TITLE_WORD}), ' ')"
 
 
 def trim(x: str) -> str:

@@ -14,8 +14,7 @@ from duebook.plans import flat, fund_split, income, statement
 from duebook.plans.runner import REPORTS, run_reports
 from duebook.sinks.display import render
 from duebook.sources.registry import Entity, System, read_source, read_table, tag_source, union_sources
-from duebook.sources.stores import FileStore
-from workload.fixture import AS_OF, NET, PRICE, RULES, SHARE, context, system, table
+from workload.fixture import AS_OF, PRICE, RULES, SHARE, context, files, system, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,7 +41,7 @@ def dec(name: str) -> F.Column:
 @query("src_table_scan")
 def _(spark, sf):
     context(spark, sf)
-    return read_table(spark, FileStore(sf), "customer", ["c_custkey", "c_name", "c_acctbal"])
+    return read_table(spark, files(sf), "customer", ["c_custkey", "c_name", "c_acctbal"])
 
 
 @query("src_federated")
@@ -566,6 +565,7 @@ PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 def _(spark, sf):
     """One branch per system, each with its own filter and label."""
     context(spark, sf)
+    store = files(sf)
     branches = []
     for priority in PRIORITIES:
         entity = Entity(
@@ -573,7 +573,7 @@ def _(spark, sf):
             {"sale_id": "o_orderkey", "price": "o_totalprice"},
             where=f"o_orderpriority = '{priority}'",
         )
-        one = System(priority, FileStore(sf), {"sale": entity})
+        one = System(priority, store, {"sale": entity})
         branches.append(tag_source(read_source(spark, one, "sale", ["sale_id", "price"]), priority))
     return union_sources(branches)
 
