@@ -32,8 +32,9 @@ def latest_by(
 
 def pick_by(column: str, order: Sequence[str], where: Column | None = None) -> Column:
     """A column of the first row by ``order``: a fixed choice where any row would do."""
-    key = F.struct(*[F.col(c) for c in order])
-    return F.min_by(column, key if where is None else F.when(where, key))
+    names = list(dict.fromkeys([*order, column]))
+    row = F.struct(*[F.col(c) for c in names])
+    return F.min(row if where is None else F.when(where, row))[column]
 
 
 def list_distinct(col: Column, sep: str = ", ") -> Column:

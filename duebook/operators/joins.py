@@ -18,26 +18,28 @@ class Lookup:
     take: Mapping[str, str]
 
 
-def lookup(fact: DataFrame, step: Lookup) -> DataFrame:
-    """Left join of one lookup, cut down to its key and the columns taken."""
-    keys = {fact_key: f"__key_{i}" for i, fact_key in enumerate(step.on)}
-    side = step.df.select(
-        *[F.col(step.on[k]).alias(alias) for k, alias in keys.items()],
-        *[F.col(column).alias(name) for name, column in step.take.items()],
-    )
-    condition = [fact[k] == side[alias] for k, alias in keys.items()]
-    return fact.join(side, condition, "left").drop(*keys.values())
-
-
 def lookup_chain(fact: DataFrame, steps: Sequence[Lookup]) -> DataFrame:
     """The fact left-joined to a chain of lookups; a later step may use a column an earlier one took.
 
-    Keys of the fact may be as skewed as they like: small lookups are broadcast by size,
-    larger ones are sort-merged, where AQE splits an oversized partition on the fact side.
+    Each lookup is cut down to its key and the columns taken. Keys of the fact may be as
+    skewed as they like: small lookups are broadcast by size, larger ones are
+    sort-merged, where AQE splits an oversized partition on the fact side.
     """
-    for step in steps:
-        fact = lookup(fact, step)
-    return fact
+    helpers = []
+    for number, step in enumerate(steps):
+        keys = {fact_key: f"__key_{number}_{i}" for i, fact_key in enumerate(step.on)}
+        side = step.df.select(
+            *[F.col(step.on[k]).alias(alias) for k, alias in keys.items()],
+            *[F.col(column).alias(name) for name, column in step.take.items()],
+        )
+        fact = fact.join(side, [fact[k] == side[alias] for k, alias in keys.items()], "left")
+        helpers += keys.values()
+    return fact.drop(*helpers)
+
+
+def lookup(fact: DataFrame, step: Lookup) -> DataFrame:
+    """Left join of one lookup."""
+    return lookup_chain(fact, [step])
 
 
 def unique_by(dim: DataFrame, *keys: str) -> DataFrame:

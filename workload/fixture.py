@@ -81,7 +81,7 @@ VIEWS = {
 
 
 @dataclass(frozen=True)
-class TestdataStore:
+class GivenTables:
     """The given files, and the few joined views that stand for tables flattened upstream."""
 
     files: FileStore
@@ -357,7 +357,7 @@ RULES = Rules(
 
 
 def system(sf_dir: str) -> System:
-    return System("lake", TestdataStore(files(sf_dir)), ENTITIES)
+    return System("lake", GivenTables(files(sf_dir)), ENTITIES)
 
 
 def context(spark: SparkSession, sf_dir: str, rules: Rules = RULES, as_of: date = AS_OF) -> Context:
