@@ -10,10 +10,11 @@ from duebook.functions.dates import in_month
 from duebook.functions.keys import prefix_ref
 from duebook.functions.money import fund_split, future_funds
 from duebook.functions.predicates import exclude_pair, exclude_values
-from duebook.operators.joins import conform, left_join_many, lookup_chain
-from duebook.plans.shared import by_id, named
+from duebook.operators.joins import left_join_many, lookup_chain
+from duebook.plans.shared import branded, by_id, named
 
 FUNDS = ("fee", "reserve", "fund")
+BRAND_COLUMNS = ("brand", "development", "section")
 
 
 def income_fund_split(ctx: Context) -> DataFrame:
@@ -43,18 +44,14 @@ def income_fund_split(ctx: Context) -> DataFrame:
                 {"condominium_id": "condominium_id", "stage": "stage", "unit": "number"},
             ),
             by_id(
-                ctx, r.read("condominium", "condominium_id", "name"), "condominium_id", {"raw_name": "name"}
+                ctx,
+                branded(ctx, r.read("condominium", "condominium_id", "name"), *BRAND_COLUMNS),
+                "condominium_id",
+                {c: c for c in BRAND_COLUMNS},
             ),
             by_id(ctx, named(ctx, "condo_user", "user_id"), "user_id", {"user": "name"}),
         ],
     )
-    rows = conform(
-        rows,
-        r.read_dim("brand", "raw_name", "brand", "development", "section"),
-        ("raw_name", "raw_name"),
-        {"brand": "brand", "development": "development", "section": "section"},
-        fail_on_dup=rules.fail_on_duplicate_dimension,
-    )
     kept = rows.where(
         F.col("development").isNotNull()
         & (F.col("development") != rules.excluded_development)

@@ -11,10 +11,10 @@ from duebook.functions.keys import prefix_ref, unit_key, unit_key_staged
 from duebook.functions.predicates import exclude_contains, exclude_values
 from duebook.functions.text import fold_accents, strip_tokens, title_words, trim_text
 from duebook.operators.grouping import dedupe
-from duebook.operators.joins import conform, lookup_chain
+from duebook.operators.joins import lookup_chain
 from duebook.operators.payments import payment_rollup
 from duebook.operators.select import sort_created
-from duebook.plans.shared import by_id, named
+from duebook.plans.shared import branded, by_id, named
 
 
 def month_payments(ctx: Context) -> DataFrame:
@@ -87,19 +87,15 @@ def income_sales(ctx: Context, grain: str = "payment") -> DataFrame:
             by_id(ctx, r.read("unit", "unit_id", *unit_columns.values()), "unit_id", unit_columns),
             by_id(ctx, sellers, "user_id", {"seller": "name"}, "seller_id"),
             by_id(
-                ctx, r.read("development", "development_id", "name"), "development_id", {"raw_name": "name"}
+                ctx,
+                branded(ctx, r.read("development", "development_id", "name"), "brand", "development"),
+                "development_id",
+                {"raw_name": "name", "brand": "brand", "development": "development"},
             ),
             by_id(ctx, r.read("sale_status", "status_id", "name"), "status_id", {"status": "name"}),
             by_id(ctx, deposits, "payment_id", {"assigned_by": "assigned_by"}),
         ],
     )
-    rows = conform(
-        rows,
-        r.read_dim("brand", "raw_name", "brand", "development"),
-        ("raw_name", "raw_name"),
-        {"brand": "brand", "development": "development"},
-        fail_on_dup=rules.fail_on_duplicate_dimension,
-    )
     # The filters see the names as they are; accents are folded afterwards.
     kept = rows.where(
         exclude_contains(F.col("client"), rules.excluded_client_fragments)

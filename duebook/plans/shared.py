@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from duebook.context import Context
 from duebook.functions.text import person_name
-from duebook.operators.joins import Lookup
+from duebook.operators.joins import Lookup, conform
 
 NAME_PARTS = ("first_name", "last_name_1", "last_name_2")
 
@@ -28,3 +28,18 @@ def named(ctx: Context, entity: str, key: str, nulls: str = "empty", *cols: str)
     return rows.select(
         *ctx.registry.keys(key), person_name(*name_parts(), nulls=nulls).alias("name"), *cols
     )
+
+
+def branded(ctx: Context, places: DataFrame, *attributes: str) -> DataFrame:
+    """Developments or condominiums (with a ``name``) with their brand attributes.
+
+    The text key is joined here, lookup to lookup. Joining it on the fact side would
+    shuffle every fact row by a text with few values.
+    """
+    return conform(
+        places,
+        ctx.registry.read_dim("brand", "raw_name", *attributes),
+        ("name", "raw_name"),
+        {a: a for a in attributes},
+        fail_on_dup=ctx.rules.fail_on_duplicate_dimension,
+    )

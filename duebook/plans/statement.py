@@ -14,7 +14,10 @@ from duebook.operators.aging import aging
 from duebook.operators.grouping import dedupe, latest_by, latest_date, list_names, milestone
 from duebook.operators.joins import Lookup, conform, lookup_chain
 from duebook.operators.select import doubles
-from duebook.plans.shared import NAME_PARTS, by_id, name_parts
+from duebook.plans.shared import NAME_PARTS, branded, by_id, name_parts
+
+BRAND_COLUMNS = ("brand", "development", "section")
+SELLER_COLUMNS = ("branch", "seller_kind", "team")
 
 AMOUNTS = (
     "price", "collected", "down_payment_paid", "receivable", "instalment_amount", "required_total",
@@ -106,41 +109,34 @@ def statement_sales(ctx: Context) -> DataFrame:
     client_take = {f"client_{p}": p for p in NAME_PARTS} | {"phone": "phone", "email": "email"}
     unit_take = {"development_id": "development_id", "unit": "number", "stage": "stage"}
     unit_take["bank_reference"] = "bank_reference"
-    sellers = r.read("user", "user_id", *NAME_PARTS).select(
-        *r.keys("user_id"),
-        strip_tokens(
-            person_name(*name_parts(), nulls="propagate", surname_strip="-"),
-            rules.seller_tokens,
-            regex=True,
-        ).alias("name"),
+    # Both text keys are joined lookup to lookup, so no fact row is shuffled by a text.
+    sellers = conform(
+        r.read("user", "user_id", *NAME_PARTS).select(
+            *r.keys("user_id"),
+            strip_tokens(
+                person_name(*name_parts(), nulls="propagate", surname_strip="-"),
+                rules.seller_tokens,
+                regex=True,
+            ).alias("name"),
+        ),
+        r.read_dim("seller", "seller", *SELLER_COLUMNS),
+        ("name", "seller"),
+        {c: c for c in SELLER_COLUMNS},
+        fail_on_dup=rules.fail_on_duplicate_dimension,
     )
+    developments = branded(ctx, r.read("development", "development_id", "name"), *BRAND_COLUMNS)
     rows = lookup_chain(
         rows,
         [
             by_id(ctx, r.read("client", "client_id", *client_take.values()), "client_id", client_take),
             by_id(ctx, r.read("unit", "unit_id", *unit_take.values()), "unit_id", unit_take),
-            by_id(ctx, sellers, "user_id", {"seller": "name"}, "seller_id"),
+            by_id(ctx, sellers, "user_id", {"seller": "name"} | {c: c for c in SELLER_COLUMNS}, "seller_id"),
             by_id(
-                ctx, r.read("development", "development_id", "name"), "development_id", {"raw_name": "name"}
+                ctx, developments, "development_id", {"raw_name": "name"} | {c: c for c in BRAND_COLUMNS}
             ),
             by_id(ctx, r.read("sale_status", "status_id", "name"), "status_id", {"status": "name"}),
         ],
     )
-    strict = rules.fail_on_duplicate_dimension
-    rows = conform(
-        rows,
-        r.read_dim("brand", "raw_name", "brand", "development", "section"),
-        ("raw_name", "raw_name"),
-        {"brand": "brand", "development": "development", "section": "section"},
-        fail_on_dup=strict,
-    )
-    rows = conform(
-        rows,
-        r.read_dim("seller", "seller", "branch", "seller_kind", "team"),
-        ("seller", "seller"),
-        {"branch": "branch", "seller_kind": "seller_kind", "team": "team"},
-        fail_on_dup=strict,
-    )
     client = fold_accents(
         person_name(*[F.col(f"client_{p}") for p in NAME_PARTS], nulls="propagate", surname_strip="")
     )

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
+import tempfile
+import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -15,6 +17,19 @@ def report_path(root: str, name: str, as_of: date, prefix: str = "reports") -> s
     return f"{root}/{prefix}-{as_of.isoformat()}/{name}"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder for written tables, below the one the cluster shares.
+
+    Only a local session without ``spark.checkpoint.dir`` may use a temporary folder.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="duebook-")
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def _drop_folder(df: DataFrame, path: str) -> None:
     jvm = df.sparkSession._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

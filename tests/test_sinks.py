@@ -1,10 +1,12 @@
 from datetime import date
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from duebook.operators.typing_rules import normalise
 from duebook.sinks.display import render
-from duebook.sinks.writer import report_path, write_report
+from duebook.sinks.writer import report_path, shared_folder, write_report
 
 AS_OF = date(2024, 3, 9)
 
@@ -53,3 +55,23 @@ def test_csv_export_of_display_text(spark, tmp_path):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     path = write_report(render(df), str(tmp_path), "x", AS_OF, format="csv")
     assert spark.read.option("header", True).csv(path).collect()[0].asDict() == {"a": "1", "b": "x"}
+
+
+class Session:
+    """The two things the folder choice looks at."""
+
+    def __init__(self, master, **options):
+        self.sparkContext = SimpleNamespace(master=master)
+        self.conf = SimpleNamespace(get=lambda key, default: options.get(key.replace(".", "_"), default))
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    named = Session("yarn", spark_checkpoint_dir="hdfs:///shared/")
+    first, second = shared_folder(named), shared_folder(named)
+    assert first.startswith("hdfs:///shared/") and "//" not in first[7:].lstrip("/") and first != second
+    assert shared_folder(spark).startswith("/")
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(Session("yarn"))

@@ -420,6 +420,11 @@ ORACLE: dict[str, str] = {
         ]
     ),
     "report_shape": "select 'orders' as report, count(*) as row_count, cast(6 as int) as column_count from orders",
+    "sink_dated_folder": "select * from orders",
+    "sink_skip_empty": """
+        select r.report, count(*) as row_count, cast(6 as int) as column_count
+        from (values ('open', 'O'), ('unknown', 'X')) r(report, status)
+        join orders on o_orderstatus = r.status group by r.report""",
     "sink_display_text": f"""
         select cast(l_orderkey as varchar) as l_orderkey, cast(l_linenumber as varchar) as l_linenumber,
           strftime(l_shipdate, '%d/%m/%Y') as ship_date,

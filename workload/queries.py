@@ -13,6 +13,7 @@ from duebook.operators import aging, grouping, joins, payments, profile, select,
 from duebook.plans import flat, fund_split, income, statement
 from duebook.plans.runner import REPORTS, run_reports
 from duebook.sinks.display import render
+from duebook.sinks.writer import shared_folder, write_report
 from duebook.sources.registry import Entity, System, read_source, read_table, tag_source, union_sources
 from workload.fixture import AS_OF, PRICE, RULES, SHARE, context, files, system, table
 
@@ -69,6 +70,25 @@ def _(spark, sf):
     return profile.report_shape(table(spark, sf, "orders"), "orders")
 
 
+@query("sink_dated_folder")
+def _(spark, sf):
+    """The orders as they come back from the dated folder they were written to."""
+    orders = table(spark, sf, "orders")
+    path = write_report(orders, shared_folder(spark), "orders", AS_OF)
+    return spark.read.schema(orders.schema).parquet(path)
+
+
+@query("sink_skip_empty")
+def _(spark, sf):
+    """What a batch leaves behind: the open orders are written, a report without rows is not."""
+    orders, root = table(spark, sf, "orders"), shared_folder(spark)
+    frames = {"open": orders.where("o_orderstatus = 'O'"), "unknown": orders.where("o_orderstatus = 'X'")}
+    paths = {name: write_report(frame, root, name, AS_OF) for name, frame in frames.items()}
+    return union_sources(
+        [profile.report_shape(spark.read.parquet(path), name) for name, path in paths.items() if path]
+    )
+
+
 @query("sink_display_text")
 def _(spark, sf):
     rows = table(spark, sf, "lineitem").select(
