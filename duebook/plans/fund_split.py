@@ -30,7 +30,7 @@ def income_fund_split(ctx: Context) -> DataFrame:
         detailed,
         [
             by_id(ctx, r.read("condo_transfer", "payment_id", "account"), "payment_id", {"account": "account"}),
-            by_id(ctx, r.read("pay_form", "form_id", "name"), "form_id", {"pay_form": "name"}),
+            by_id(ctx, r.read_lookup("pay_form", "form_id", "name"), "form_id", {"pay_form": "name"}),
             by_id(
                 ctx,
                 named(ctx, "condo_client", "client_id", "empty", "property_id"),

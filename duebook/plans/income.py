@@ -34,8 +34,8 @@ def month_payments(ctx: Context) -> DataFrame:
     named_rows = lookup_chain(
         approved,
         [
-            by_id(ctx, r.read("bank", "bank_id", "name"), "bank_id", {"bank": "name"}),
-            by_id(ctx, r.read("pay_form", "form_id", "name"), "form_id", {"pay_form": "name"}),
+            by_id(ctx, r.read_lookup("bank", "bank_id", "name"), "bank_id", {"bank": "name"}),
+            by_id(ctx, r.read_lookup("pay_form", "form_id", "name"), "form_id", {"pay_form": "name"}),
         ],
     )
     return named_rows.withColumns(
@@ -92,7 +92,7 @@ def income_sales(ctx: Context, grain: str = "payment") -> DataFrame:
                 "development_id",
                 {"raw_name": "name", "brand": "brand", "development": "development"},
             ),
-            by_id(ctx, r.read("sale_status", "status_id", "name"), "status_id", {"status": "name"}),
+            by_id(ctx, r.read_lookup("sale_status", "status_id", "name"), "status_id", {"status": "name"}),
             by_id(ctx, deposits, "payment_id", {"assigned_by": "assigned_by"}),
         ],
     )

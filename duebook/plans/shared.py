@@ -36,10 +36,11 @@ def branded(ctx: Context, places: DataFrame, *attributes: str) -> DataFrame:
     The text key is joined here, lookup to lookup. Joining it on the fact side would
     shuffle every fact row by a text with few values.
     """
-    return conform(
+    joined = conform(
         places,
         ctx.registry.read_dim("brand", "raw_name", *attributes),
         ("name", "raw_name"),
         {a: a for a in attributes},
         fail_on_dup=ctx.rules.fail_on_duplicate_dimension,
     )
+    return ctx.registry.small(joined)

@@ -53,7 +53,7 @@ def milestones(ctx: Context) -> DataFrame:
     r = ctx.registry
     history = lookup_chain(
         r.read("status_history", "sale_id", "status_id", "moved_at"),
-        [by_id(ctx, r.read("sale_status", "status_id", "name"), "status_id", {"status_name": "name"})],
+        [by_id(ctx, r.read_lookup("sale_status", "status_id", "name"), "status_id", {"status_name": "name"})],
     )
     return milestone(
         history, r.keys("sale_id"), "status_name", "moved_at", ctx.rules.milestone_prefix, "signed_on"
@@ -82,30 +82,6 @@ def statement_sales(ctx: Context) -> DataFrame:
         "down_payment", "receivable", "instalment_count", "closed_on",
         where=F.col("status_id").isin(*rules.sale_statuses),
     )
-    instalments = aging(
-        r.read("instalment", "sale_id", "kind", "number", "due_on", "billed", "balance"),
-        ctx.as_of,
-        key,
-        rules.monthly_kind,
-    )
-    promises = latest_date(r.read("follow_up", "sale_id", "promised_on"), key, "promised_on", "promised_on")
-
-    def per_sale(df: DataFrame) -> Lookup:
-        return by_id(ctx, df, "sale_id", {c: c for c in df.columns if c not in key})
-
-    # The sale is shuffled once: all of these are grouped by the same key.
-    rows = lookup_chain(
-        sales,
-        [
-            per_sale(latest_payments(ctx)),
-            per_sale(instalments.drop("overdue_billed")),
-            per_sale(promises),
-            per_sale(milestones(ctx)),
-        ],
-    )
-    if rules.coowner_source == "coowner":
-        rows = coowners(ctx, rows)
-
     client_take = {f"client_{p}": p for p in NAME_PARTS} | {"phone": "phone", "email": "email"}
     unit_take = {"development_id": "development_id", "unit": "number", "stage": "stage"}
     unit_take["bank_reference"] = "bank_reference"
@@ -126,17 +102,42 @@ def statement_sales(ctx: Context) -> DataFrame:
     )
     developments = branded(ctx, r.read("development", "development_id", "name"), *BRAND_COLUMNS)
     rows = lookup_chain(
-        rows,
+        sales,
         [
             by_id(ctx, r.read("client", "client_id", *client_take.values()), "client_id", client_take),
             by_id(ctx, r.read("unit", "unit_id", *unit_take.values()), "unit_id", unit_take),
-            by_id(ctx, sellers, "user_id", {"seller": "name"} | {c: c for c in SELLER_COLUMNS}, "seller_id"),
+            by_id(ctx, r.small(sellers), "user_id", {"seller": "name"} | {c: c for c in SELLER_COLUMNS}, "seller_id"),
             by_id(
                 ctx, developments, "development_id", {"raw_name": "name"} | {c: c for c in BRAND_COLUMNS}
             ),
-            by_id(ctx, r.read("sale_status", "status_id", "name"), "status_id", {"status": "name"}),
+            by_id(ctx, r.read_lookup("sale_status", "status_id", "name"), "status_id", {"status": "name"}),
+        ],
+    )
+    instalments = aging(
+        r.read("instalment", "sale_id", "kind", "number", "due_on", "billed", "balance"),
+        ctx.as_of,
+        key,
+        rules.monthly_kind,
+    )
+    promises = latest_date(r.read("follow_up", "sale_id", "promised_on"), key, "promised_on", "promised_on")
+
+    def per_sale(df: DataFrame) -> Lookup:
+        return by_id(ctx, df, "sale_id", {c: c for c in df.columns if c not in key})
+
+    # Last, because all of these are grouped by the sale: one shuffle of the sales serves the
+    # four joins and, ids being unique over all sources, the dedupe of the report as well.
+    rows = lookup_chain(
+        rows,
+        [
+            per_sale(latest_payments(ctx)),
+            per_sale(instalments.drop("overdue_billed")),
+            per_sale(promises),
+            per_sale(milestones(ctx)),
         ],
     )
+    if rules.coowner_source == "coowner":
+        rows = coowners(ctx, rows)
+
     client = fold_accents(
         person_name(*[F.col(f"client_{p}") for p in NAME_PARTS], nulls="propagate", surname_strip="")
     )

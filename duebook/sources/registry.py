@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duebook.operators.joins import broadcast_if_small
 from duebook.sources.stores import Store
 
 SOURCE = "source"
@@ -90,6 +91,8 @@ class Registry:
     systems: Sequence[System]
     dimensions: Mapping[str, tuple[Store, Entity]]
     id_scope: str = "system"
+    broadcast_bytes: int = 10 << 20
+    _checked: dict[tuple[str, ...], DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def __post_init__(self) -> None:
         if self.id_scope not in ("system", "global"):
@@ -118,12 +121,17 @@ class Registry:
             raise KeyError(f"no system has the entity {entity!r}")
         return union_sources(branches)
 
-    def read_dim(self, name: str, *cols: str) -> DataFrame:
-        """A lookup shared by all systems.
+    def read_lookup(self, entity: str, *cols: str) -> DataFrame:
+        """A lookup of the systems, broadcast where its size has been checked; checked once."""
+        wanted = (entity, *cols)
+        if wanted not in self._checked:
+            self._checked[wanted] = self.small(self.read(entity, *cols))
+        return self._checked[wanted]
+
+    def small(self, df: DataFrame) -> DataFrame:
+        return broadcast_if_small(df, self.broadcast_bytes)
 
-        No broadcast hint: Spark broadcasts a side it finds below
-        ``autoBroadcastJoinThreshold`` (from file size, or at run time through AQE) and
-        otherwise joins by shuffle, so a dimension that has grown cannot sink the job.
-        """
+    def read_dim(self, name: str, *cols: str) -> DataFrame:
+        """A lookup shared by all systems."""
         store, spec = self.dimensions[name]
         return read_source(self.spark, System(name, store, {name: spec}), name, cols)
