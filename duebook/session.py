@@ -38,6 +38,8 @@ def local_session(app: str, cores: int | str = "*", partitions: int = 8) -> Spar
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("DUEBOOK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(partitions))
+        # Call sites are recorded for every expression otherwise, which slows plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME_OPTIONS.items():
         builder = builder.config(key, value)
