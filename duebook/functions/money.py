@@ -63,8 +63,10 @@ def norm_money(col: Column, dtype: T.DataType) -> Column:
     return F.rint(col.try_cast("double") * F.lit(100.0)) / F.lit(100.0)
 
 
-def norm_int(col: Column) -> Column:
+def norm_int(col: Column, dtype: T.DataType | None = None) -> Column:
     """Whole number; text that is none, a fraction or NULL gives 0."""
+    if isinstance(dtype, T.IntegralType):
+        return F.coalesce(col.cast("bigint"), F.lit(0).cast("bigint"))
     number = col.try_cast("decimal(38,9)")
     whole = F.when(number == F.floor(number), number.try_cast("bigint"))
     return F.coalesce(whole, F.lit(0).cast("bigint"))

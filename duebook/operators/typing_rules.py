@@ -46,7 +46,7 @@ def typed(col: Column, dtype: T.DataType, group: str | None) -> Column:
     if group == "money":
         return norm_money(col, dtype)
     if group == "integer":
-        return norm_int(col)
+        return norm_int(col, dtype)
     if group == "text":
         return norm_text(col)
     return col

@@ -24,12 +24,13 @@ def income_fund_split(ctx: Context) -> DataFrame:
         "payment_id", "client_id", "user_id", "form_id", "folio", "bank", "amount", "paid_on", "status",
         where=(F.col("status") == rules.active_status) & in_month(F.col("paid_on"), ctx.as_of),
     ).drop("status")
-    # A payment repeats once per detail row, on purpose; one payment may hold very many.
-    detailed = left_join_many(payments, r.read("fund_detail", "payment_id", *FUNDS), r.keys("payment_id"))
+    # A payment repeats once per transfer and detail row, on purpose; one may hold very many.
+    key = r.keys("payment_id")
+    moved = left_join_many(payments, r.read("condo_transfer", "payment_id", "account"), key)
+    detailed = left_join_many(moved, r.read("fund_detail", "payment_id", *FUNDS), key)
     rows = lookup_chain(
         detailed,
         [
-            by_id(ctx, r.read("condo_transfer", "payment_id", "account"), "payment_id", {"account": "account"}),
             by_id(ctx, r.read_lookup("pay_form", "form_id", "name"), "form_id", {"pay_form": "name"}),
             by_id(
                 ctx,
