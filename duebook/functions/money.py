@@ -64,7 +64,7 @@ def norm_money(col: Column, dtype: T.DataType) -> Column:
 
 
 def norm_int(col: Column, dtype: T.DataType | None = None) -> Column:
-    """Whole number; text that is none, a fraction or NULL gives 0."""
+    """Whole number; text that is none, a fraction, a number beyond 64 bits or NULL gives 0."""
     if isinstance(dtype, T.IntegralType):
         return F.coalesce(col.cast("bigint"), F.lit(0).cast("bigint"))
     number = col.try_cast("decimal(38,9)")
@@ -72,7 +72,8 @@ def norm_int(col: Column, dtype: T.DataType | None = None) -> Column:
     return F.coalesce(whole, F.lit(0).cast("bigint"))
 
 
-def is_fraction(col: Column) -> Column:
-    """Rows that :func:`norm_int` had to reject because they are not whole."""
+def is_rejected(col: Column) -> Column:
+    """Numbers that :func:`norm_int` turns into 0: not whole, or beyond 64 bits."""
     number = col.try_cast("decimal(38,9)")
-    return F.coalesce(number != F.floor(number), F.lit(False))
+    kept = (number == F.floor(number)) & number.try_cast("bigint").isNotNull()
+    return number.isNotNull() & ~kept

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duebook.functions.dates import norm_date
-from duebook.functions.money import is_fraction, norm_int, norm_money
+from duebook.functions.money import is_rejected, norm_int, norm_money
 from duebook.functions.text import trim_text
 
 Keywords = Mapping[str, Sequence[str]]
@@ -83,7 +83,7 @@ def partial_matches(names: Sequence[str], keywords: Keywords) -> dict[str, str]:
 def integer_rejects(
     df: DataFrame, keywords: Keywords = REPORT_KEYWORDS, overrides: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Count of fractional values per integer column, which :func:`normalise` turns into 0."""
+    """Count of numbers per integer column that :func:`normalise` has to turn into 0."""
     names = [c for c in df.columns if category(c, keywords, overrides) == "integer"]
-    counts = [F.count_if(is_fraction(df[f"`{c}`"])).alias(c) for c in names]
+    counts = [F.count_if(is_rejected(df[f"`{c}`"])).alias(c) for c in names]
     return df.agg(*counts)
