@@ -12,7 +12,7 @@ AS_OF = date(2024, 3, 9)
 
 
 def test_path_is_dated():
-    assert report_path("/r", "x", AS_OF, "PV") == "/r/PV-2024-03-09/x"
+    assert report_path("/r", "x", AS_OF, "run") == "/r/run-2024-03-09/x"
 
 
 def test_write_and_overwrite(spark, tmp_path):

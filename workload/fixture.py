@@ -92,6 +92,7 @@ class GivenTables:
         return self.files.scan(spark, table)
 
 
+# The tables hold no seller of a sale: the order key names one of fifty, so every sale has one.
 SALE = {
     "source": "o_orderpriority",
     "sale_id": "o_orderkey",
