@@ -22,15 +22,15 @@ NAMES = "a string, b string, c string"
 
 
 def test_person_name_null_part_is_empty_text(spark):
-    rows = [("ana", None, "ruiz"), ("ana", "", "ruiz"), (None, None, None), ("ana  maria", "lo-pez", "d.e")]
+    rows = [("ana", None, "ruiz"), ("ana", "", "ruiz"), (None, None, None), ("ana  maria", "gar-za", "d.e")]
     name = text.person_name(F.col("a"), F.col("b"), F.col("c"))
-    assert values(spark, rows, NAMES, name) == ["Ana  Ruiz", "Ana  Ruiz", "", "Ana  Maria Lopez De"]
+    assert values(spark, rows, NAMES, name) == ["Ana  Ruiz", "Ana  Ruiz", "", "Ana  Maria Garza De"]
 
 
 def test_person_name_strict_propagates_null(spark):
-    rows = [("ana", None, "ruiz"), ("ana-maria", "lo-pez", "o.x")]
+    rows = [("ana", None, "ruiz"), ("ana-maria", "gar-za", "o.x")]
     name = text.person_name(F.col("a"), F.col("b"), F.col("c"), nulls="propagate", surname_strip="")
-    assert values(spark, rows, NAMES, name) == [None, "Ana-Maria Lo-Pez O.X"]
+    assert values(spark, rows, NAMES, name) == [None, "Ana-Maria Gar-Za O.X"]
 
 
 def test_person_name_rejects_unknown_null_rule():
@@ -57,10 +57,10 @@ def test_trim_text_takes_unicode_white_space(spark):
 
 
 def test_strip_tokens(spark):
-    rows = ["Damian Dam", "xDamx.", None]
-    assert one(spark, rows, text.strip_tokens(F.col("x"), ["Dam", "."])) == ["ian", "xx", None]
-    assert one(spark, rows, text.strip_tokens(F.col("x"), ["Dam", "."], regex=True)) == ["ian", "xx", None]
-    assert one(spark, rows, text.strip_tokens(F.col("x"), ["Dam"], whole_word=True)) == ["Damian", "xDamx.", None]
+    rows = ["Linus Lin", "xLinx.", None]
+    assert one(spark, rows, text.strip_tokens(F.col("x"), ["Lin", "."])) == ["us", "xx", None]
+    assert one(spark, rows, text.strip_tokens(F.col("x"), ["Lin", "."], regex=True)) == ["us", "xx", None]
+    assert one(spark, rows, text.strip_tokens(F.col("x"), ["Lin"], whole_word=True)) == ["Linus", "xLinx.", None]
     assert one(spark, [" a "], text.strip_tokens(F.col("x"), [])) == ["a"]
 
 

@@ -56,8 +56,8 @@ def test_union_is_by_name(spark):
 
 def test_jdbc_options_partition_large_tables():
     store = JdbcStore(
-        "jdbc:mysql://host/db",
-        "com.mysql.cj.jdbc.Driver",
+        "jdbc:postgresql://host/db",
+        "org.postgresql.Driver",
         {"user": "reader"},
         {"payment": Split("payment_id", "1", "1000000", 64)},
     )

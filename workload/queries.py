@@ -744,7 +744,7 @@ def _(spark, sf):
 # ------------------------------------------------------------------ typing stage
 
 TYPING_WORDS = {
-    "date": ["fecha", "_date"],
+    "date": ["_day", "_date"],
     "money": ["total", "price"],
     "integer": ["key", "number"],
     "text": ["status", "ri"],
