@@ -372,7 +372,8 @@ def near_duplicates(documents: DataFrame, p: NearDedup = NearDedup()) -> DataFra
     wanted = stage(
         classes.join(groups, "node").select("node", "root", "least_id", "d1", "d2", "n_shingles", "sig"), "near-wanted"
     )
-    ids = wanted.select(F.col("least_id").alias("wanted_id")).distinct()
+    # The merge hint keeps one plan at every size: the texts are shuffled once, whatever the number of ids.
+    ids = wanted.select(F.col("least_id").alias("wanted_id")).distinct().hint("merge")
     sets = texts.join(ids, texts.doc_id.eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
     sets = sets.mapInArrow(_with_sets(p), "d1 long, d2 long, shingles binary").dropDuplicates(["d1", "d2"])
     totals = wanted.groupBy("root").agg(F.sum("n_shingles").alias("total"))
