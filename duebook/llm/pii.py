@@ -182,7 +182,7 @@ def find_pii(documents: DataFrame, least_score: float = 0.55) -> DataFrame:
 
 def mask_pii(documents: DataFrame, least_score: float = 0.55) -> DataFrame:
     """``documents`` with personal data in ``text`` replaced by its kind, and n_chars brought in line."""
-    schema = StructType(list(documents.schema.fields)).add("_pii_spans", SPAN_TYPE)
+    schema = StructType([*documents.schema.fields, *StructType.fromDDL(f"_pii_spans {SPAN_TYPE}").fields])
     at = documents.columns.index("text")
     out = documents.mapInArrow(_scan(least_score, True, at), schema).drop("_pii_spans")
     if "n_chars" in out.columns:
