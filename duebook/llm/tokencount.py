@@ -14,6 +14,7 @@ rows without an id are counted like any other; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .staging import stage
 
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 
 
 def tokenizer_version(path: str) -> str:
@@ -41,6 +42,8 @@ def content_digest(text: Column, version: str) -> Column:
 
 
 def load_tokenizer(path: str):
+    """The tokenizer on one thread: a task has one core, and threads would each hold memory of their own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
@@ -56,8 +59,8 @@ def count_texts(texts: list[str], tokenizer, known: dict[str, int]) -> list[int]
         known.clear()
         known[""] = 0
     fresh = list({w for words in split for w in words if w not in known})
-    for at in range(0, len(fresh), 20_000):
-        part = fresh[at : at + 20_000]
+    for at in range(0, len(fresh), 4_000):
+        part = fresh[at : at + 4_000]
         encoded = tokenizer.encode_batch_fast(part, add_special_tokens=False)
         known.update(zip(part, map(len, encoded), strict=True))
     return [sum(map(known.__getitem__, words)) for words in split]
@@ -71,7 +74,7 @@ def _encode(path: str):
             at = 0
             while at < len(batch):
                 base = sizes[at - 1] if at else 0
-                end = max(at + 1, int(np.searchsorted(sizes, base + 2_000_000, side="right")))
+                end = max(at + 1, int(np.searchsorted(sizes, base + 500_000, side="right")))
                 texts = batch.column("text").slice(at, end - at).to_pylist()
                 counts = count_texts(texts, tokenizer, known)
                 yield pa.RecordBatch.from_arrays(
