@@ -11,14 +11,18 @@ from duebook.sources.registry import Registry
 
 @dataclass(frozen=True)
 class Rules:
-    """Business constants. All of them come from the caller; none is built in."""
-
-    reference_prefix: str = "REF_"
-    statement_prefix: str = "ref_"
-    sale_statuses: tuple[int | str, ...] = ()
-    active_status: int | str = 1
-    monthly_kind: str = ""
-    milestone_prefix: str = ""
+    """Business constants. All of them come from the caller; none is built in.
+
+    A rule left at ``None`` or empty filters nothing. ``active_status``, ``monthly_kind`` and
+    ``milestone_prefix`` have no neutral value: a report that needs one raises without it.
+    """
+
+    reference_prefix: str = ""
+    statement_prefix: str = ""
+    sale_statuses: tuple[int | str, ...] | None = None
+    active_status: int | str | None = None
+    monthly_kind: str | None = None
+    milestone_prefix: str | None = None
     seller_tokens: tuple[str, ...] = ()
     staged_developments: tuple[str, ...] = ()
     staged_sources: tuple[str, ...] | None = None
@@ -26,14 +30,21 @@ class Rules:
     excluded_seller_fragments: tuple[str, ...] = ()
     excluded_developments: tuple[str, ...] = ()
     excluded_banks: tuple[str, ...] = ()
-    excluded_user: str = ""
-    excluded_development: str = ""
-    excluded_section: tuple[str, str] = ("", "")
+    excluded_user: str | None = None
+    excluded_development: str | None = None
+    excluded_section: tuple[str, str] | None = None
     coowner_source: str = "client"
     coowner_keys: Mapping[str, str] = field(default_factory=dict)
     concept_amount: str = "min"
     fail_on_duplicate_dimension: bool = False
 
+    def required(self, name: str) -> int | str:
+        """A rule without a neutral value."""
+        value = getattr(self, name)
+        if value is None or value == "":
+            raise ValueError(f"this report needs the rule {name}")
+        return value
+
 
 @dataclass(frozen=True)
 class Context:

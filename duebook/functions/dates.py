@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,15 +21,24 @@ def month_bounds(as_of: date) -> tuple[date, date]:
     return first, following
 
 
-def in_month(col: Column, as_of: date) -> Column:
+def in_month(col: Column, as_of: date, dtype: T.DataType | None = None) -> Column:
     """True in the as-of month, NULL for a NULL date.
 
-    A half-open range of literals, so that it reaches the scan as a pushed filter.
+    A half-open range of literals, so that it reaches the scan as a pushed filter. A text column
+    (by ``dtype``) is compared as ISO text, which reaches the scan as well, and must hold a date:
+    comparing it with dates would cast every row and fail on the zero date.
     """
     first, following = month_bounds(as_of)
+    if isinstance(dtype, T.StringType):
+        within = (col >= F.lit(first.isoformat())) & (col < F.lit(following.isoformat()))
+        return within & clean_date(col).isNotNull()
     return (col >= F.lit(first)) & (col < F.lit(following))
 
 
+def column_in_month(df: DataFrame, name: str, as_of: date) -> Column:
+    return in_month(df[name], as_of, df.schema[name].dataType)
+
+
 def days_overdue(first_overdue: Column, as_of: date) -> Column:
     return F.datediff(F.lit(as_of), first_overdue)
 

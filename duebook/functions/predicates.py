@@ -20,10 +20,17 @@ def exclude_values(col: Column, values: Sequence[str]) -> Column:
     return ~col.isin(*values) if values else F.lit(True)
 
 
+def exclude_value(col: Column, value: str | None) -> Column:
+    """All but one value. NULL is not kept, unless there is nothing to exclude."""
+    return F.lit(True) if value is None else col != value
+
+
 def exclude_pair(a: Column, x: str, b: Column, y: str) -> Column:
     return ~((a == x) & (b == y))
 
 
 def starts_ci(col: Column, prefix: str) -> Column:
     """Starts with ``prefix``, whatever the case."""
+    if not prefix:
+        raise ValueError("an empty prefix would match every text")
     return F.lower(col).startswith(prefix.lower())

@@ -68,7 +68,7 @@ def milestone(
     history: DataFrame, keys: Sequence[str], status: str, moved_at: str, prefix: str, name: str
 ) -> DataFrame:
     """First date a status with the prefix was reached; NULL when it never was."""
-    reached = F.when(starts_ci(F.col(status), prefix), F.col(moved_at).cast("date"))
+    reached = F.when(starts_ci(F.col(status), prefix), clean_date(F.col(moved_at)))
     return history.groupBy(*keys).agg(F.min(reached).alias(name))
 
 

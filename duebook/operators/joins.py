@@ -18,8 +18,8 @@ def broadcast_if_small(df: DataFrame, max_bytes: int) -> DataFrame:
     """The frame with a broadcast hint if its rows are found to fit ``max_bytes``, else as it is.
 
     Spark's own estimate is missing for remote tables and far too high for joined lookups,
-    so such a side would have the whole fact shuffled by a key of few values. The check
-    reads no more rows than could fit and adds up their bytes.
+    so such a side would have the whole fact shuffled by a key of few values. The check is one
+    pruned aggregate: each task adds up its own bytes and one row per task travels.
     """
     if max_bytes <= 0:
         return df
@@ -27,8 +27,7 @@ def broadcast_if_small(df: DataFrame, max_bytes: int) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             size = size + F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
-    most_rows = max_bytes // (ROW_BYTES + VALUE_BYTES * len(df.columns))
-    found = df.select(size.cast("bigint").alias("bytes")).limit(most_rows + 1).agg(F.sum("bytes")).first()[0]
+    found = df.agg(F.sum(size.cast("bigint"))).first()[0]
     return F.broadcast(df) if (found or 0) <= max_bytes else df
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duebook.context import Context
-from duebook.functions.dates import in_month
+from duebook.functions.dates import column_in_month
 from duebook.functions.keys import prefix_ref, unit_key
 from duebook.functions.money import to_double
 
@@ -60,7 +60,7 @@ def statement_flat(ctx: Context) -> DataFrame:
 
 def income_flat(ctx: Context) -> DataFrame:
     source = ["bank_reference" if c == "reference" else c for c in INCOME_COLUMNS]
-    rows = ctx.registry.read("income_flat", *source, where=in_month(F.col("paid_on"), ctx.as_of))
+    rows = ctx.registry.read("income_flat", *source, where=lambda df: column_in_month(df, "paid_on", ctx.as_of))
     amounts = ("amount", "unapplied_balance", "fee_amount", "reserve_amount", "fund_amount")
     return rows.withColumns(
         {

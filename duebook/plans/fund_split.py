@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duebook.context import Context
-from duebook.functions.dates import in_month
+from duebook.functions.dates import clean_date, column_in_month
 from duebook.functions.keys import prefix_ref
 from duebook.functions.money import fund_split, future_funds
-from duebook.functions.predicates import exclude_pair, exclude_values
+from duebook.functions.predicates import exclude_pair, exclude_value, exclude_values
 from duebook.operators.joins import left_join_many, lookup_chain
 from duebook.plans.shared import branded, by_id, named
 
@@ -19,10 +19,11 @@ BRAND_COLUMNS = ("brand", "development", "section")
 
 def income_fund_split(ctx: Context) -> DataFrame:
     r, rules = ctx.registry, ctx.rules
+    active = rules.required("active_status")
     payments = r.read(
         "condo_payment",
         "payment_id", "client_id", "user_id", "form_id", "folio", "bank", "amount", "paid_on", "status",
-        where=(F.col("status") == rules.active_status) & in_month(F.col("paid_on"), ctx.as_of),
+        where=lambda df: (F.col("status") == active) & column_in_month(df, "paid_on", ctx.as_of),
     ).drop("status")
     # A payment repeats once per transfer and detail row, on purpose; one may hold very many.
     key = r.keys("payment_id")
@@ -53,14 +54,16 @@ def income_fund_split(ctx: Context) -> DataFrame:
             by_id(ctx, named(ctx, "condo_user", "user_id"), "user_id", {"user": "name"}),
         ],
     )
+    pair = F.lit(True)
+    if rules.excluded_section is not None:
+        development, section = rules.excluded_section
+        pair = exclude_pair(F.col("development"), development, F.col("section"), section)
     kept = rows.where(
         F.col("development").isNotNull()
-        & (F.col("development") != rules.excluded_development)
-        & (F.col("user") != rules.excluded_user)
+        & exclude_value(F.col("development"), rules.excluded_development)
+        & exclude_value(F.col("user"), rules.excluded_user)
         & F.col("pay_form").isNotNull()
-        & exclude_pair(
-            F.col("development"), rules.excluded_section[0], F.col("section"), rules.excluded_section[1]
-        )
+        & pair
         & exclude_values(F.col("bank"), rules.excluded_banks)
     )
     funds = [F.col(f) for f in FUNDS]
@@ -77,7 +80,7 @@ def income_fund_split(ctx: Context) -> DataFrame:
         "client",
         "user",
         prefix_ref(F.col("account"), rules.reference_prefix).alias("reference"),
-        F.to_date("paid_on").alias("paid_on"),
+        clean_date(F.col("paid_on")).alias("paid_on"),
         "bank",
         "pay_form",
         F.col("amount").cast("double").alias("amount"),

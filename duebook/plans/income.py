@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duebook.context import Context
-from duebook.functions.dates import clean_date, in_month
+from duebook.functions.dates import clean_date, column_in_month
 from duebook.functions.keys import prefix_ref, unit_key, unit_key_staged
 from duebook.functions.predicates import exclude_contains, exclude_values
 from duebook.functions.text import fold_accents, strip_tokens, title_words, trim_text
@@ -23,12 +23,12 @@ def month_payments(ctx: Context) -> DataFrame:
     The month is cut here, before the roll-up, because a range on the payment's own date
     reaches the scan; after the roll-up it would sit above an aggregate.
     """
-    r = ctx.registry
+    r, active = ctx.registry, ctx.rules.required("active_status")
     payments = r.read(
         "payment",
         "payment_id", "sale_id", "bank_id", "form_id", "paid_on", "created_on", "amount", "surcharge",
         "folio", "concept", "status", "approved_on",
-        where=(F.col("status") == ctx.rules.active_status) & in_month(F.col("paid_on"), ctx.as_of),
+        where=lambda df: (F.col("status") == active) & column_in_month(df, "paid_on", ctx.as_of),
     )
     approved = payments.where(clean_date(F.col("approved_on")).isNotNull()).drop("status", "approved_on")
     named_rows = lookup_chain(
@@ -50,24 +50,29 @@ def month_payments(ctx: Context) -> DataFrame:
 
 def income_sales(ctx: Context, grain: str = "payment") -> DataFrame:
     r, rules = ctx.registry, ctx.rules
+    payments = month_payments(ctx)
+    # Flows and deposits are joined left from the month's payments: those of other months go before
+    # they are grouped, so that the cost is the month's and not the history's.
+    key = r.keys("payment_id", "sale_id")
     flows = r.read(
         "payment_flow",
         "payment_id", "sale_id", "status", "flow_amount", "flow_concept",
-        where=F.col("status") == rules.active_status,
-    ).drop("status")
+        where=F.col("status") == rules.required("active_status"),
+    ).drop("status").join(payments.select(*key), key, "left_semi")
     rolled = payment_rollup(
-        month_payments(ctx),
+        payments,
         flows,
         grain=grain,
         amount=rules.concept_amount,
-        keys=r.keys("payment_id", "sale_id"),
+        keys=key,
     )
     # A payment may have several deposits of one user: distinct pairs before the join.
+    paid = r.keys("payment_id")
     deposits = lookup_chain(
-        r.read("deposit", "payment_id", "assigned_to"),
+        r.read("deposit", "payment_id", "assigned_to").join(payments.select(*paid), paid, "left_semi"),
         [by_id(ctx, named(ctx, "user", "user_id"), "user_id", {"assigned_by": "name"}, "assigned_to")],
     )
-    deposits = deposits.select(*r.keys("payment_id"), "assigned_by").distinct()
+    deposits = deposits.select(*paid, "assigned_by").distinct()
 
     sellers = named(ctx, "user", "user_id")
     sellers = sellers.withColumn("name", strip_tokens(F.col("name"), rules.seller_tokens))

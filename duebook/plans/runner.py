@@ -29,8 +29,18 @@ REPORTS: dict[str, Callable[[Context], DataFrame]] = {
 }
 
 
+@dataclass
+class Planned:
+    """Lazy frames by report name, and the reports that could not be planned with their errors."""
+
+    frames: dict[str, DataFrame] = field(default_factory=dict)
+    failed: dict[str, str] = field(default_factory=dict)
+
+
 @dataclass
 class BatchResult:
+    """Every report of the batch is in exactly one of the three."""
+
     written: dict[str, str] = field(default_factory=dict)
     empty: list[str] = field(default_factory=list)
     failed: dict[str, str] = field(default_factory=dict)
@@ -40,30 +50,31 @@ def run_reports(
     ctx: Context,
     names: Iterable[str] | None = None,
     reports: Mapping[str, Callable[[Context], DataFrame]] = REPORTS,
-) -> dict[str, DataFrame]:
-    """Lazy frames by report name; a report that cannot be planned is logged and left out."""
-    frames = {}
+) -> Planned:
+    """Plan every report; one that cannot be planned is logged and listed as failed."""
+    planned = Planned()
     for name in reports if names is None else names:
         try:
-            frames[name] = reports[name](ctx)
-        except Exception:
+            planned.frames[name] = reports[name](ctx)
+        except Exception as error:
             log.exception("report %s could not be built", name)
-    return frames
+            planned.failed[name] = str(error)
+    return planned
 
 
 def write_reports(
     ctx: Context,
-    frames: Mapping[str, DataFrame],
+    planned: Planned,
     root: str,
     *,
     keywords: Keywords = REPORT_KEYWORDS,
     overrides: Mapping[str, str] | None = None,
     prefix: str = "reports",
 ) -> BatchResult:
-    """Type and write every report. Plans run here, so this is where one may fail: the
-    others still run, and a failed one is never listed as written."""
-    result = BatchResult()
-    for name, frame in frames.items():
+    """Type and write every report. Plans run here, so one may fail here too: the others
+    still run, and a failed one is never listed as written."""
+    result = BatchResult(failed=dict(planned.failed))
+    for name, frame in planned.frames.items():
         try:
             path = write_report(normalise(frame, keywords, overrides), root, name, ctx.as_of, prefix=prefix)
         except Exception as error:

@@ -56,7 +56,7 @@ def milestones(ctx: Context) -> DataFrame:
         [by_id(ctx, r.read_lookup("sale_status", "status_id", "name"), "status_id", {"status_name": "name"})],
     )
     return milestone(
-        history, r.keys("sale_id"), "status_name", "moved_at", ctx.rules.milestone_prefix, "signed_on"
+        history, r.keys("sale_id"), "status_name", "moved_at", ctx.rules.required("milestone_prefix"), "signed_on"
     )
 
 
@@ -80,7 +80,7 @@ def statement_sales(ctx: Context) -> DataFrame:
         "sale",
         "source", "sale_id", "client_id", "unit_id", "seller_id", "status_id", "price", "collected",
         "down_payment", "receivable", "instalment_count", "closed_on",
-        where=F.col("status_id").isin(*rules.sale_statuses),
+        where=None if rules.sale_statuses is None else F.col("status_id").isin(*rules.sale_statuses),
     )
     client_take = {f"client_{p}": p for p in NAME_PARTS} | {"phone": "phone", "email": "email"}
     unit_take = {"development_id": "development_id", "unit": "number", "stage": "stage"}
@@ -117,7 +117,7 @@ def statement_sales(ctx: Context) -> DataFrame:
         r.read("instalment", "sale_id", "kind", "number", "due_on", "billed", "balance"),
         ctx.as_of,
         key,
-        rules.monthly_kind,
+        rules.required("monthly_kind"),
     )
     promises = latest_date(r.read("follow_up", "sale_id", "promised_on"), key, "promised_on", "promised_on")
 

@@ -30,11 +30,39 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def _drop_folder(df: DataFrame, path: str) -> None:
-    jvm = df.sparkSession._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    target.getFileSystem(conf).delete(target, True)
+class _Folder:
+    """A path on whatever file system holds the output."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self._fs = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self._fs.exists(self._path)
+
+    def drop(self) -> None:
+        self._fs.delete(self._path, True)
+
+    def move_to(self, other: _Folder) -> None:
+        if not self._fs.rename(self._path, other._path):
+            raise OSError(f"{self._path.toString()} could not be moved to {other._path.toString()}")
+
+
+def _put_in_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Move a finished folder to its place; an earlier one gives way only then, and comes back if the
+    move fails."""
+    new, place, earlier = _Folder(spark, staged), _Folder(spark, path), _Folder(spark, f"{staged}-earlier")
+    had_one = place.exists()
+    if had_one:
+        place.move_to(earlier)
+    try:
+        new.move_to(place)
+    except Exception:
+        if had_one:
+            earlier.move_to(place)
+        raise
+    if had_one:
+        earlier.drop()
 
 
 def write_report(
@@ -49,21 +77,25 @@ def write_report(
 ) -> str | None:
     """Write one report under the dated folder and log its shape; None for an empty one.
 
-    Rows are counted while they are written. Asking ``isEmpty`` first would run the
-    shuffles of the report a second time.
+    The rows go to a folder beside the report's and are counted on the way: asking ``isEmpty``
+    first would run the shuffles of the report a second time. Only a finished report with rows
+    takes the place of an earlier one, so an empty or failing run leaves that as it was.
     """
-    path = report_path(root, name, as_of, prefix)
+    spark, path = df.sparkSession, report_path(root, name, as_of, prefix)
+    staged = f"{path}.staged-{uuid.uuid4().hex}"
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("row_count"))
-    writer = counted.write.mode("overwrite").format(format)
+    writer = counted.write.format(format)
     if format == "csv":
         writer = writer.option("header", True)
-    writer.save(path)
-    rows = seen.get["row_count"]
-    if rows == 0 and skip_empty:
-        # What is dropped is the folder this call has just written, with no row in it.
-        _drop_folder(df, path)
-        log.warning("report %s is empty and was skipped", name)
-        return None
+    try:
+        writer.save(staged)
+        rows = seen.get["row_count"]
+        if rows == 0 and skip_empty:
+            log.warning("report %s is empty and was skipped", name)
+            return None
+        _put_in_place(spark, staged, path)
+    finally:
+        _Folder(spark, staged).drop()  # the folder of this call alone; gone already where it was moved
     log.info("report %s: %d rows, %d columns", name, rows, len(df.columns))
     return path

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -38,6 +38,9 @@ class Entity:
                 raise ValueError(f"credential column {name!r} may not be exposed")
 
 
+Where = str | Column | Callable[[DataFrame], Column] | None
+
+
 @dataclass(frozen=True)
 class System:
     name: str
@@ -63,9 +66,12 @@ def read_source(
     system: System,
     entity: str,
     cols: Iterable[str],
-    where: str | Column | None = None,
+    where: Where = None,
 ) -> DataFrame:
-    """Selected columns of one system's entity; filters go below the projection, to the scan."""
+    """Selected columns of one system's entity; filters go below the projection, to the scan.
+
+    A filter that depends on a column's type is a function of the system's rows.
+    """
     spec = system.entities[entity]
     cols = list(cols)
     unknown = [c for c in cols if c not in spec.columns]
@@ -75,7 +81,9 @@ def read_source(
     if spec.where:
         df = df.where(spec.where)
     df = df.select(*[F.expr(spec.columns[c]).alias(c) for c in cols])
-    return df if where is None else df.where(where)
+    if where is None:
+        return df
+    return df.where(where if isinstance(where, str | Column) else where(df))
 
 
 @dataclass(frozen=True)
@@ -101,7 +109,7 @@ class Registry:
     def keys(self, *ids: str) -> list[str]:
         return list(ids) if self.id_scope == "global" else [SOURCE, *ids]
 
-    def read(self, entity: str, *cols: str, where: str | Column | None = None) -> DataFrame:
+    def read(self, entity: str, *cols: str, where: Where = None) -> DataFrame:
         """The entity over all systems that have it, tagged with the source where keys need it."""
         branches = []
         for system in self.systems:

@@ -2,6 +2,8 @@
 
 import pytest
 
+from duebook.functions.dates import column_in_month
+from workload.fixture import AS_OF
 from workload.queries import QUERIES
 
 
@@ -35,6 +37,17 @@ def test_month_range_reaches_the_scan(name, column, spark, small):
     assert any(f"GreaterThanOrEqual({column}" in p and f"LessThan({column}" in p for p in pushed)
 
 
+def test_month_range_of_text_dates_reaches_the_scan(spark, tmp_path):
+    """Zero dates as text neither fail the filter nor keep it from the scan."""
+    rows = [("1998-07-01",), ("1998-07-31",), ("1998-08-01",), ("0000-00-00",), ("1998-07-99",), (None,)]
+    spark.createDataFrame(rows, "paid_on string").write.parquet(f"{tmp_path}/t")
+    read = spark.read.parquet(f"{tmp_path}/t")
+    kept = read.where(column_in_month(read, "paid_on", AS_OF))
+    assert sorted(r[0] for r in kept.collect()) == ["1998-07-01", "1998-07-31"]
+    pushed = next(line for line in plan(kept).splitlines() if "PushedFilters" in line)
+    assert "GreaterThanOrEqual(paid_on,1998-07-01)" in pushed and "LessThan(paid_on,1998-08-01)" in pushed
+
+
 def test_status_reaches_the_scan(spark, small):
     assert "EqualTo(o_orderstatus,O)" in plan(QUERIES["src_federated"](spark, small))
     assert "In(o_orderstatus, [F,O])" in plan(QUERIES["report_statement_sales"](spark, small))
@@ -49,7 +62,7 @@ def test_only_used_columns_are_read(spark, small):
 
 def test_aging_is_one_shuffle(spark, small):
     text = plan(QUERIES["aging_one_pass"](spark, small))
-    assert text.count("Exchange\n") <= text.count("(") and text.split("\n\n")[0].count("Exchange") == 1
+    assert text.split("\n\n")[0].count("Exchange") == 1
 
 
 def test_dimensions_are_broadcast_by_size(spark, small):

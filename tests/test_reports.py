@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from duebook.context import Context
+from duebook.context import Context, Rules
 from duebook.plans.income import income_by_concept, income_sales
 from duebook.plans.runner import REPORTS, run_reports, write_reports
 from duebook.plans.statement import statement_sales
@@ -133,11 +133,23 @@ def test_one_failing_report_does_not_stop_the_others(spark, small, tmp_path):
 
     ctx = context(spark, small)
     reports = {"a": broken_plan, "b": broken_run, "c": empty, "d": REPORTS["overdue_portfolio"]}
-    frames = run_reports(ctx, reports=reports)
-    assert list(frames) == ["b", "c", "d"]
-    result = write_reports(ctx, frames, str(tmp_path), prefix="out")
-    assert list(result.failed) == ["b"] and "boom" in result.failed["b"]
+    planned = run_reports(ctx, reports=reports)
+    assert list(planned.frames) == ["b", "c", "d"] and planned.failed == {"a": "no plan"}
+    result = write_reports(ctx, planned, str(tmp_path), prefix="out")
+    assert list(result.failed) == ["a", "b"] and "boom" in result.failed["b"] and "no plan" in result.failed["a"]
+    assert {*result.failed, *result.empty, *result.written} == set(reports)
     assert result.empty == ["c"]
     assert result.written == {"d": f"{tmp_path}/out-1998-07-15/d"}
     assert not (tmp_path / "out-1998-07-15" / "c").exists()
     assert spark.read.parquet(result.written["d"]).count() == 150
+
+
+def test_default_rules_filter_nothing_or_raise(spark, small):
+    with pytest.raises(ValueError, match="monthly_kind"):
+        statement_sales(context(spark, small, Rules(milestone_prefix="eur", active_status="O")))
+    with pytest.raises(ValueError, match="milestone_prefix"):
+        statement_sales(context(spark, small, Rules(monthly_kind="N", active_status="O")))
+    with pytest.raises(ValueError, match="active_status"):
+        income_sales(context(spark, small, Rules()))
+    every = statement_sales(context(spark, small, Rules(monthly_kind="N", milestone_prefix="eur")))
+    assert every.count() == files(small).scan(spark, "orders").count()

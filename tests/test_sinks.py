@@ -30,6 +30,17 @@ def test_empty_report_is_skipped(spark, tmp_path):
     assert spark.read.parquet(kept).count() == 0
 
 
+def test_empty_or_failing_rerun_keeps_the_earlier_report(spark, tmp_path):
+    path = write_report(spark.range(5), str(tmp_path), "x", AS_OF)
+    assert write_report(spark.range(5).where("id > 9"), str(tmp_path), "x", AS_OF) is None
+    assert spark.read.parquet(path).count() == 5
+    failing = spark.range(5).select(F.when(F.col("id") > 3, F.raise_error(F.lit("boom"))).otherwise("a").alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        write_report(failing, str(tmp_path), "x", AS_OF)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in (tmp_path / "reports-2024-03-09").iterdir() if not p.name.startswith(".")] == ["x"]
+
+
 def test_sorted_report_keeps_its_order_in_files(spark, tmp_path):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("n")).orderBy("n")
     path = write_report(df, str(tmp_path), "x", AS_OF)

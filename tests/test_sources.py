@@ -69,9 +69,14 @@ def test_jdbc_options_partition_large_tables():
 
 
 def test_catalog_store_reads_a_table(spark, small):
-    files(small).scan(spark, "nation").createOrReplaceTempView("nation_view")
-    assert spark.table("nation_view").count() == 25
-    assert CatalogStore("db").database == "db"
+    spark.sql("create database if not exists catalog_store_test")
+    spark.sql("drop table if exists catalog_store_test.nation")
+    files(small).scan(spark, "nation").write.saveAsTable("catalog_store_test.nation")
+    try:
+        read = CatalogStore("catalog_store_test").scan(spark, "nation")
+        assert sorted(read.collect()) == sorted(files(small).scan(spark, "nation").collect())
+    finally:
+        spark.sql("drop database catalog_store_test cascade")
 
 
 def test_file_store_opens_a_table_once(spark, small):

@@ -239,7 +239,12 @@ ENTITIES = {
     "payment_flow": Entity("lineitem", PAYMENT_FLOW),
     "deposit": Entity("events", {"payment_id": "event_id", "assigned_to": "user_id"}),
     "status_history": Entity(
-        "events", {"sale_id": "user_id", "status_id": "event_type", "moved_at": "ts"}
+        "events",
+        {
+            "sale_id": "user_id",
+            "status_id": "event_type",
+            "moved_at": "case when event_id % 7 = 0 then '0000-00-00' else date_format(ts, 'yyyy-MM-dd') end",
+        },
     ),
     "follow_up": Entity(
         "events",
@@ -278,8 +283,11 @@ ENTITIES = {
     "condo_payment": Entity("orders", CONDO_PAYMENT),
     "condo_transfer": Entity(
         "orders",
-        {"payment_id": "o_orderkey", "account": "cast(o_custkey as string)"},
-        where="o_orderpriority <> '3-MEDIUM'",
+        # Some transfers name a payment that does not exist, so some payments have none.
+        {
+            "payment_id": "case when o_orderpriority = '3-MEDIUM' then -1 - o_orderkey else o_orderkey end",
+            "account": "cast(o_custkey as string)",
+        },
     ),
     "fund_detail": Entity(
         "lineitem",

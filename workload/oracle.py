@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from duebook.functions.text import ACCENTED, PLAIN, WHITE_SPACE
+# Fixed values, written out here so that a wrong one in the package shows.
+WHITE_SPACE = (
+    "\t\n\x0b\f\r \x1c\x1d\x1e\x1f\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+ACCENTED, PLAIN = "áéíóúñ", "aeioun"
 
 AS_OF = "date '1998-07-15'"
 MONTH = "{0} >= date '1998-07-01' and {0} < date '1998-08-01'"
@@ -295,7 +300,7 @@ with approved as (
   select user_id, max(case when event_type <> 'error' then cast(ts as date) end) as promised_on
   from events group by user_id
 ), signed as (
-  select user_id, min(case when lower(st.name) like 'eur%' then cast(ts as date) end) as signed_on
+  select user_id, min(case when lower(st.name) like 'eur%' and event_id % 7 <> 0 then cast(ts as date) end) as signed_on
   from events left join {STATUS} st on st.status_id = event_type group by user_id
 ), sellers as (
   select s_suppkey, {seller} as seller from supplier
@@ -482,6 +487,13 @@ ORACLE: dict[str, str] = {
         ) on o_custkey = c_custkey""",
     "filter_current_month": "select o_orderkey, o_orderdate, o_totalprice from orders"
     " where year(o_orderdate) = 1998 and month(o_orderdate) = 7",
+    "filter_current_month_text": """
+        select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day, o_totalprice from orders
+        where o_orderkey % 5 <> 0 and year(o_orderdate) = 1998 and month(o_orderdate) = 7""",
+    "agg_milestone_date_text": """
+        select user_id, min(cast(ts as date)) filter (where event_type ilike 'sign%' and event_id % 5 <> 0)
+            as reached_on
+        from events group by user_id""",
     "filter_status_eq": "select o_orderkey, o_orderstatus from orders where o_orderstatus = 'O'",
     "filter_in_list": "select o_orderkey, o_orderstatus from orders where o_orderstatus in ('F', 'P')",
     "filter_not_like_any": """

@@ -61,8 +61,10 @@ def _(spark, sf):
 @query("run_all_reports")
 def _(spark, sf):
     """Row and column count of every report of one batch run."""
-    frames = run_reports(context(spark, sf))
-    return union_sources([profile.report_shape(frame, name) for name, frame in frames.items()])
+    planned = run_reports(context(spark, sf))
+    if planned.failed:
+        raise RuntimeError(f"not planned: {planned.failed}")
+    return union_sources([profile.report_shape(frame, name) for name, frame in planned.frames.items()])
 
 
 @query("report_shape")
@@ -80,10 +82,13 @@ def _(spark, sf):
 
 @query("sink_skip_empty")
 def _(spark, sf):
-    """What a batch leaves behind: the open orders are written, a report without rows is not."""
+    """What a batch leaves behind: the open orders are written, a report without rows is not, and a
+    later run without rows leaves the earlier report in place."""
     orders, root = table(spark, sf, "orders"), shared_folder(spark)
-    frames = {"open": orders.where("o_orderstatus = 'O'"), "unknown": orders.where("o_orderstatus = 'X'")}
+    nothing = orders.where("o_orderstatus = 'X'")
+    frames = {"open": orders.where("o_orderstatus = 'O'"), "unknown": nothing}
     paths = {name: write_report(frame, root, name, AS_OF) for name, frame in frames.items()}
+    write_report(nothing, root, "open", AS_OF)
     return union_sources(
         [profile.report_shape(spark.read.parquet(path), name) for name, path in paths.items() if path]
     )
@@ -272,6 +277,22 @@ def _(spark, sf):
     return orders.where(dates.in_month(col("o_orderdate"), AS_OF))
 
 
+@query("filter_current_month_text")
+def _(spark, sf):
+    """Dates kept as text, some of them the zero date."""
+    text = F.expr("case when o_orderkey % 5 = 0 then '0000-00-00' else date_format(o_orderdate, 'yyyy-MM-dd') end")
+    orders = table(spark, sf, "orders").select("o_orderkey", text.alias("day"), "o_totalprice")
+    return orders.where(dates.column_in_month(orders, "day", AS_OF))
+
+
+@query("agg_milestone_date_text")
+def _(spark, sf):
+    """Milestones of dates kept as text, some of them the zero date."""
+    day = F.expr("case when event_id % 5 = 0 then '0000-00-00' else date_format(ts, 'yyyy-MM-dd') end")
+    events = table(spark, sf, "events").select("user_id", "event_type", day.alias("day"))
+    return grouping.milestone(events, ["user_id"], "event_type", "day", "Sign", "reached_on")
+
+
 @query("filter_status_eq")
 def _(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").where(col("o_orderstatus") == "O")
@@ -354,7 +375,9 @@ def _(spark, sf):
     """Payments (one row per order and line) with the flows of both keys; those without any are kept."""
     lines = table(spark, sf, "lineitem")
     paid = lines.groupBy("l_orderkey", "l_linenumber").agg(F.sum(dec("l_extendedprice")).cast("double").alias("amount"))
-    flows = lines.where("l_returnflag = 'R'").select("l_orderkey", "l_linenumber", col("l_partkey").alias("flow_part"))
+    # Flows of other kinds belong to no payment: their key is shifted out of range, no row is cut.
+    order = F.when(col("l_returnflag") == "R", col("l_orderkey")).otherwise(-1 - col("l_orderkey"))
+    flows = lines.select(order.alias("l_orderkey"), "l_linenumber", col("l_partkey").alias("flow_part"))
     return joins.left_join_many(paid, flows, ["l_orderkey", "l_linenumber"])
 
 
