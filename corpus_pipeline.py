@@ -21,13 +21,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows is a copy of another id."""
     found = near_dedup.near_duplicates(docs, near_dedup.NearDedup(percent=80))
     gone = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = stage(gone, "pipeline-copies")
     kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    # Repeated ids are rare: only they are grouped.
-    repeated = kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
-    repeated = stage(repeated, "repeated-ids")
-    alone = kept.join(repeated, kept["doc_id"] == repeated["_again"], "left_anti")
-    again = kept.join(repeated, kept["doc_id"] == repeated["_again"], "left_semi")
-    return alone.unionByName(again.dropDuplicates(["doc_id", "text"]))
+    counts = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+    again = stage(counts.where("_n > 1").select(F.col("doc_id").alias("_again")), "pipeline-repeated")
+    if again.isEmpty():
+        return kept
+    # Of equal rows under one id one stays; only the rows of such ids are grouped.
+    once = kept.join(again, kept["doc_id"] == again["_again"], "left_anti")
+    twice = kept.join(again, kept["doc_id"] == again["_again"], "left_semi")
+    return once.unionByName(twice.dropDuplicates(["doc_id", "text"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
