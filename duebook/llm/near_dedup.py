@@ -99,6 +99,7 @@ class Forest:
 
     def __init__(self, n: int):
         self.up = list(range(n))
+        self.touched: set[int] = set()
 
     def root(self, x: int) -> int:
         up = self.up
@@ -112,6 +113,7 @@ class Forest:
         if x == y:
             return False
         self.up[max(x, y)] = min(x, y)
+        self.touched.update((x, y))
         return True
 
 
@@ -218,6 +220,20 @@ def _sides(own: np.ndarray, left: int, right: int) -> tuple[np.ndarray, np.ndarr
     return np.flatnonzero(own == left), np.flatnonzero(own == right)
 
 
+def _stars(forest: Forest, nodes: np.ndarray) -> tuple[list[int], list[int]]:
+    """The forest's parts as stars around their smallest node: flat, so few rounds join them later."""
+    parts: dict[int, list[int]] = {}
+    for row in forest.touched:
+        parts.setdefault(forest.root(row), []).append(int(nodes[row]))
+    out_a, out_b = [], []
+    for members in parts.values():
+        least = min(members)
+        others = [m for m in members if m != least]
+        out_a.extend(others)
+        out_b.extend([least] * len(others))
+    return out_a, out_b
+
+
 def _edges(a: list[int], b: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -253,9 +269,9 @@ def _bucket_forests(p: NearDedup, bounds: list[tuple[int, int]]):
                     i, j = i[keep], j[keep]
                 forest = Forest(high - low)
                 for a, b in zip(i.tolist(), j.tolist(), strict=True):
-                    if forest.join(a, b):
-                        out_a.append(int(nodes[low + a]))
-                        out_b.append(int(nodes[low + b]))
+                    forest.join(a, b)
+                for out, part in zip((out_a, out_b), _stars(forest, nodes[low:high]), strict=True):
+                    out.extend(part)
             if out_a:
                 yield _edges(out_a, out_b)
 
@@ -320,9 +336,10 @@ def _exact_forests(p: NearDedup, bounds: list[tuple[int, int]]):
                         strip = [b for b in rest[at : at + 64] if forest.root(b) != forest.root(a)]
                         if strip:
                             for b, hit in zip(strip, _linked(sets[a], [sets[b] for b in strip], p.percent), strict=True):
-                                if hit and forest.join(a, b):
-                                    out_a.append(int(nodes[low + a]))
-                                    out_b.append(int(nodes[low + b]))
+                                if hit:
+                                    forest.join(a, b)
+                for out, part in zip((out_a, out_b), _stars(forest, nodes[low:high]), strict=True):
+                    out.extend(part)
             if out_a:
                 yield _edges(out_a, out_b)
 
