@@ -1,9 +1,10 @@
-"""Web addresses by list rules and by association rules mined with Spark's FP-growth.
+"""Web addresses by list rules and by association rules mined level by level.
 
 List rules name a host and the start of a path; the longest that fits decides. For all other
 addresses the method decides: address tokens of labelled pages are mined for combinations that go
-with blocked pages; rules that are frequent and sure enough, and not implied by a shorter rule at
-least as sure, are matched through an index from each rule's rarest token.
+with blocked pages; all rules that are frequent and sure enough, and not implied by a shorter rule at
+least as sure, are matched through an index from each rule's rarest token. FP-growth would list all
+frequent sets first, 2^n of a page of n tokens; only sets with fewer pages than each part are listed.
 
 Defined results: a null address, or one without ``://``, has an empty host and path and is judged
 by the method on no tokens (allow); without labels nothing is mined and all are allowed; labels of
@@ -14,14 +15,14 @@ results; an unlabelled page is never learnt from; extra columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
+from math import ceil
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .staging import stage
 
-BLOCKED = "label:block"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -41,14 +42,10 @@ class ListRule:
 
 @dataclass(frozen=True)
 class MiningParameters:
-    """``vocabulary`` bounds the tokens mined, ``most_rules`` the rules kept and shipped; both take the
-    most frequent or surest first."""
+    """``support``: the part of the labelled pages that are blocked and hold a rule's tokens."""
 
     support: float = 0.001
     confidence: float = 0.6
-    vocabulary: int = 200
-    longest: int = 16
-    most_rules: int = 10_000
 
 
 def host_of(url: str) -> Column:
@@ -91,63 +88,69 @@ def address_tokens(url: str, host: str, path: str) -> Column:
     )
 
 
-def mine(labelled: DataFrame, p: MiningParameters = MiningParameters()) -> list[tuple[tuple[str, ...], float, float]]:
-    """(tokens, confidence, support) of the rules for blocked pages; ``labelled``: tokens, bad.
+def mined_rules(labelled: DataFrame, p: MiningParameters = MiningParameters()) -> DataFrame | None:
+    """(tokens, confidence, support) of the rules for blocked pages, or None; ``labelled``: tokens, bad.
 
-    Mining sees the ``vocabulary`` most frequent tokens, and of one page the ``longest`` first in
-    token order; matching has no such bound.
+    A rule surer than each of its parts has fewer pages than each of them, and so has each part of it:
+    token sets of this kind that are frequent with blocked pages, and not yet quite sure, are extended
+    by one token a level. What the support leaves is the only bound.
     """
-    top = (
-        labelled.select(F.explode("tokens").alias("token"))
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "token")
-        .limit(p.vocabulary)
-        .collect()
-    )
     total = labelled.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("int")).alias("bad")).first()
     if not total["n"] or not total["bad"]:
-        return []
-    # A token of every page says nothing and doubles the number of item sets.
-    words = [r["token"] for r in top if r["n"] < total["n"] and r["n"] >= p.support * total["n"]]
-    frequent = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-    own = F.slice(F.array_sort(F.array_intersect("tokens", frequent)), 1, p.longest)
-    items = labelled.select(F.concat(own, F.when(F.col("bad"), F.array(F.lit(BLOCKED))).otherwise(F.array().cast("array<string>"))).alias("items"))
-    items = stage(items, "url-items")
-    model = FPGrowth(itemsCol="items", minSupport=p.support, minConfidence=p.confidence).fit(items)
-    rules = (
-        model.associationRules.where(F.element_at("consequent", 1) == BLOCKED)
-        .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-        .orderBy(F.desc("confidence"), F.desc("support"), "tokens")
-        .limit(p.most_rules)
-        .collect()
+        return None
+    least = max(1, ceil(p.support * total["n"]))
+    rows = labelled.groupBy(F.array_sort(F.array_distinct("tokens")).alias("tokens")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")
     )
-    kept: list[tuple[tuple[str, ...], float, float]] = []
-    by_token: dict[str, list[int]] = {}
-    for r in sorted(rules, key=lambda r: (len(r["tokens"]), tuple(r["tokens"]))):
-        tokens = set(r["tokens"])
-        shorter = {i for t in tokens for i in by_token.get(t, ())}
-        if any(set(kept[i][0]) <= tokens and kept[i][1] >= r["confidence"] for i in shorter):
-            continue
-        for t in tokens:
-            by_token.setdefault(t, []).append(len(kept))
-        kept.append((tuple(r["tokens"]), r["confidence"], r["support"]))
-    return kept
-
-
-def match(tokens: DataFrame, rules: list[tuple[tuple[str, ...], float, float]]) -> DataFrame:
+    # Rows without blocked pages are held too: they count against a rule.
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    held = stage(rows.select("row", "n", "bad", F.explode("tokens").alias("t")).withColumn("tokens", F.array("t")).drop("t"), "url-held")
+    # A token of every page says nothing: it has no fewer pages than the empty set.
+    known = labelled.sparkSession.createDataFrame([([], total["n"], 0.0)], "part array<string>, part_n long, part_top double")
+    rules: DataFrame | None = None
+    for size in count(1):
+        sums = held.groupBy("tokens").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where(F.col("bad") >= least)
+        parts = F.explode(F.transform("tokens", lambda t: F.array_except("tokens", F.array(t)))).alias("part")
+        met = sums.select("tokens", "n", "bad", parts).join(known, "part").groupBy("tokens", "n", "bad")
+        met = met.agg(F.count(F.lit(1)).alias("met"), F.min("part_n").alias("part_n"), F.max("part_top").alias("part_top"))
+        sure = (F.col("bad") / F.col("n")).alias("confidence")
+        met = met.where((F.col("met") == size) & (F.col("n") < F.col("part_n"))).select("tokens", "n", "bad", "part_top", sure)
+        level = stage(met, "url-sets")
+        found = level.where((F.col("confidence") >= p.confidence) & (F.col("confidence") > F.col("part_top")))
+        found = found.select("tokens", "confidence", (F.col("bad") / F.lit(total["n"])).alias("support"))
+        rules = found if rules is None else rules.unionByName(found)
+        open_sets = level.where("bad < n")
+        if open_sets.isEmpty():
+            return stage(rules, "url-rules")
+        known = open_sets.select(
+            F.col("tokens").alias("part"), F.col("n").alias("part_n"), F.greatest("confidence", "part_top").alias("part_top")
+        )
+        # Sets of one row that differ in their last token only make the row's sets of the next level.
+        alive = held.join(open_sets.select("tokens"), "tokens", "left_semi")
+        last = F.array_sort(F.collect_list(F.element_at("tokens", -1)))
+        heads = alive.groupBy("row", "n", "bad", F.slice("tokens", 1, size - 1).alias("head")).agg(last.alias("last"))
+        pairs = heads.where(F.size("last") > 1).select("row", "n", "bad", "head", "last", F.posexplode("last").alias("at", "one"))
+        pairs = pairs.select("row", "n", "bad", "head", "one", F.explode(F.expr("slice(last, at + 2, size(last))")).alias("two"))
+        held = stage(pairs.select("row", "n", "bad", F.concat("head", F.array("one", "two")).alias("tokens")), "url-held")
+
+
+def mine(labelled: DataFrame, p: MiningParameters = MiningParameters()) -> list[tuple[tuple[str, ...], float, float]]:
+    """The rules of ``mined_rules`` as a list, for small tables and tests."""
+    rules = mined_rules(labelled, p)
+    return [] if rules is None else [(tuple(r["tokens"]), r["confidence"], r["support"]) for r in rules.collect()]
+
+
+def match(tokens: DataFrame, rules: DataFrame | list[tuple[tuple[str, ...], float, float]]) -> DataFrame:
     """(signature, confidence, matched): the surest rule contained in each token set, by way of an
     inverted index; ``tokens``: signature, tokens (distinct). The index has one row per rule."""
-    spark = tokens.sparkSession
-    uses: dict[str, int] = {}
-    for names, _, _ in rules:
-        for t in names:
-            uses[t] = uses.get(t, 0) + 1
-    index = spark.createDataFrame(
-        [(min(names, key=lambda t: (uses[t], t)), list(names), confidence) for names, confidence, _ in rules],
-        "token string, needed array<string>, confidence double",
-    )
-    hits = tokens.select("signature", "tokens", F.explode("tokens").alias("token")).join(F.broadcast(index), "token")
+    if not isinstance(rules, DataFrame):
+        schema = "tokens array<string>, confidence double, support double"
+        rules = tokens.sparkSession.createDataFrame([(list(t), c, s) for t, c, s in rules], schema)
+    each = rules.select(F.col("tokens").alias("needed"), "confidence", F.explode("tokens").alias("token"))
+    uses = each.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
+    rarest = F.min(F.struct("uses", "token"))["token"].alias("token")
+    index = each.join(uses, "token").groupBy("needed", "confidence").agg(rarest)
+    hits = tokens.select("signature", "tokens", F.explode("tokens").alias("token")).join(index, "token")
     full = hits.where(F.size(F.array_except("needed", "tokens")) == 0)
     best = F.max(F.struct("confidence", "needed")).alias("best")
     return full.groupBy("signature").agg(best).select(
@@ -169,22 +172,22 @@ def judge(
         "tokens", address_tokens("url", "host", "path")
     )
     number = F.regexp_extract("path", r"/([0-9]{1,18})(?:[./][^/]*)?$", 1)
-    rows = stage(rows.withColumn("number", F.when(number != "", number.cast("long"))).drop("url"), "url-rows")
+    rows = rows.withColumn("number", F.when(number != "", number.cast("long"))).drop("url")
+    rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "url-rows")
     blocked = [r.rule for r in rules if r.verdict == "block"]
     labelled = rows.join(labels.select(F.col("doc_id").alias("number"), "bad"), "number").select("tokens", "bad")
-    mined = mine(stage(labelled, "url-labelled"), p)
+    mined = mined_rules(stage(labelled, "url-labelled"), p)
     verdict = F.when(F.col("rule").isNotNull(), F.when(F.col("rule").isin(blocked), "block").otherwise("allow"))
-    if not mined:
+    if mined is None:
         return rows.select(
             "page_id", "host", "path", "rule", F.coalesce(verdict, F.lit("allow")).alias("verdict"),
             F.lit(None).cast("double").alias("confidence"), F.lit(None).cast("array<string>").alias("matched"),
         )
-    useful = F.array(*[F.lit(t) for t in sorted({t for names, _, _ in mined for t in names})])
-    signed = rows.withColumn("useful", F.array_sort(F.array_intersect("tokens", useful)))
-    signed = signed.withColumn("signature", F.array_join("useful", " "))
-    sets = signed.select("signature", F.col("useful").alias("tokens")).distinct()
-    found = match(sets, mined)
-    return signed.join(found, "signature", "left").select(
+    words = mined.select(F.explode("tokens").alias("token")).distinct()
+    useful = rows.select("row", F.explode("tokens").alias("token")).join(words, "token", "left_semi")
+    signed = stage(useful.groupBy("row").agg(F.array_sort(F.collect_list("token")).alias("signature")), "url-signed")
+    found = match(signed.select("signature", F.col("signature").alias("tokens")).distinct(), mined)
+    return rows.join(signed.join(found, "signature").drop("signature"), "row", "left").select(
         "page_id",
         "host",
         "path",

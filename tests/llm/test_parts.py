@@ -289,6 +289,15 @@ def test_mined_rules_equal_counting(spark):
     assert all(np.allclose(mined[t], kept[t]) for t in kept)
 
 
+def test_rules_beyond_the_most_frequent_tokens_and_long_addresses(spark):
+    """300 tokens more frequent than a spam path, and pages of 60 tokens that FP-growth cannot list."""
+    rows = [([f"host:h{i}", "path:a"], False) for i in range(300) for _ in range(4)]
+    long = [f"ext:{i:02d}" for i in range(60)]
+    rows += [([*long, "path:spam"], True)] * 3 + [(long, False)] * 3
+    mined = {r[0]: r[1] for r in urlrules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))}
+    assert mined == {("path:spam",): 1.0}
+
+
 def test_matching_finds_the_surest_rule(spark):
     rules = [(("a", "b"), 0.8, 0.1), (("c",), 0.7, 0.1), (("b", "d"), 0.9, 0.1)]
     sets = [("1", ["a", "b"]), ("2", ["a"]), ("3", ["b", "c", "d"]), ("4", ["c"])]
