@@ -34,9 +34,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """A row goes if its own text is contaminated, whatever other rows of its id, or without one, hold."""
+    found = decontam.contaminated_texts(docs, table(spark, sf_dir, "benchmark"))
+    gone = found.select(F.col("text_key").alias("_gone"))
+    return docs.join(gone, decontam.text_key("text") == gone["_gone"], "left_anti")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .staging import stage
@@ -78,7 +78,7 @@ def _seed_lists(seed: int, bitmap: np.ndarray | None):
     return run
 
 
-SEED_ROWS = "id long, digest long, n_words long, seed long, places array<long>"
+SEED_ROWS = "id {}, digest long, n_words long, seed long, places array<long>"
 
 
 def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +167,7 @@ def _compact(rows: list[dict], seed: int) -> tuple[np.ndarray, np.ndarray]:
     return used, np.r_[0, np.cumsum(gaps)]
 
 
-def _tile_rows(p: Tiling):
+def _tile_rows(p: Tiling, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("doc_id", "item_id", "item_words", "matched_words", "tiles")}
@@ -199,7 +199,7 @@ def _tile_rows(p: Tiling):
                     )
             if out["doc_id"]:
                 tile = pa.list_(pa.struct([("doc_word", pa.int64()), ("item_word", pa.int64()), ("words", pa.int64())]))
-                types = [pa.int64()] * 4 + [tile]
+                types = [id_type] + [pa.int64()] * 3 + [tile]
                 arrays = [pa.array(v, t) for v, t in zip(out.values(), types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, list(out))
 
@@ -209,11 +209,26 @@ def _tile_rows(p: Tiling):
 def contaminated(documents: DataFrame, benchmark: DataFrame, p: Tiling = Tiling()) -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, item_words, matched_words,
     coverage, and the tiles (first word in the document and in the item, words)."""
+    docs = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    return _contaminated(docs, "long", benchmark, p)
+
+
+def text_key(text: str) -> Column:
+    """What tells texts apart, whatever their ids; null without a text."""
+    return F.sha2(F.col(text).cast("string"), 256)
+
+
+def contaminated_texts(documents: DataFrame, benchmark: DataFrame, p: Tiling = Tiling()) -> DataFrame:
+    """The ``text_key`` of each contaminated text, once."""
+    docs = documents.select(text_key("text").alias("id"), F.col("text").cast("string").alias("text"))
+    return _contaminated(docs, "string", benchmark, p).select(F.col("doc_id").alias("text_key")).distinct()
+
+
+def _contaminated(docs: DataFrame, id_type: str, benchmark: DataFrame, p: Tiling) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    item_seeds = stage(items.mapInArrow(_seed_lists(p.seed, None), SEED_ROWS).distinct(), "bench-seeds")
+    item_seeds = stage(items.mapInArrow(_seed_lists(p.seed, None), SEED_ROWS.format("long")).distinct(), "bench-seeds")
     bitmap = seed_bitmap(item_seeds)
-    docs = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    doc_seeds = docs.mapInArrow(_seed_lists(p.seed, bitmap), SEED_ROWS)
+    doc_seeds = docs.mapInArrow(_seed_lists(p.seed, bitmap), SEED_ROWS.format(id_type))
     shared = doc_seeds.select(
         F.col("id").alias("doc_id"), F.col("digest").alias("doc_digest"), "seed", F.col("places").alias("doc_places")
     ).join(
@@ -231,10 +246,12 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, p: Tiling = Tiling(
         F.collect_set(F.struct("seed", "doc_places", "item_places")).alias("shared")
     )
     schema = (
-        "doc_id long, item_id long, item_words long, matched_words long, "
+        f"doc_id {id_type}, item_id long, item_words long, matched_words long, "
         "tiles array<struct<doc_word: long, item_word: long, words: long>>"
     )
-    found = pairs.select("doc_id", "item_id", "item_words", "shared").mapInArrow(_tile_rows(p), schema)
+    found = pairs.select("doc_id", "item_id", "item_words", "shared").mapInArrow(
+        _tile_rows(p, pa.string() if id_type == "string" else pa.int64()), schema
+    )
     return found.select(
         "doc_id",
         "item_id",

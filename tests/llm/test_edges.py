@@ -250,6 +250,15 @@ def test_pipeline_stages(spark, docs, empty, tmp_path):
                 assert any("<EMAIL>" in (r.text or "") for r in rows) and len(rows) == len(TEXTS)
 
 
+def test_contaminated_rows_go_and_no_others_of_their_id(spark, tmp_path):
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    planted, turned = _prose(20, 10) + " " + ITEM, " ".join(reversed(ITEM.split()))
+    rows = [(None, planted), (None, _prose(21, 50)), (None, None), (None, turned), (None, ITEM), (5, planted), (5, _prose(22, 50)), (6, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    kept = corpus_pipeline.drop_contaminated(spark, df, str(tmp_path)).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(str(r) for r in rows if ITEM not in (r[1] or ""))
+
+
 def test_pipeline_runs(spark, sf):
     first = corpus_pipeline.run(spark, sf)
     rows = first.collect()
