@@ -1,13 +1,15 @@
 """Language by a string kernel: blended-spectrum presence kernel, Nystroem landmarks, one-versus-rest
 kernel ridge regression.
 
-A text is the set of its byte n-grams of 1 to ``longest`` bytes (A-Z lower-cased), hashed to a fixed
-number of places. The kernel of two texts is the number of shared n-grams over the geometric mean of
-their set sizes. A batch of texts is scored by two matrix products: presence times landmarks, then
-kernel values times coefficients.
+A piece of a text is the set of its byte n-grams of 1 to ``longest`` bytes (A-Z lower-cased), hashed to
+a fixed number of places. The kernel of two pieces is the number of shared n-grams over the geometric
+mean of their set sizes; that of two texts is the mean over all pairs of their pieces, equal parts of at
+most ``PIECE_BYTES``, so that places do not fill up however long a text is. Pieces are scored by two
+matrix products: presence times landmarks, then kernel values times coefficients.
 
 The model is fitted on a bounded sample: about ``per_language`` texts of each of the ``languages``
-most frequent languages, chosen by a hash of the id; what reaches the driver is 2 KB for each.
+most frequent languages, chosen by a hash of the id. The texts of the sample are written; what reaches the
+driver is 64 KB for each landmark and a kernel value for each text and landmark.
 
 Defined results: a null or letterless text is ``und`` with score 0; without any labelled text all are
 ``und``; rows without a language are scored and never learnt from; equal texts get equal results;
@@ -24,9 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .staging import stage
 from .words import LOWER, slices, text_bytes
 
 PLACES = 1 << 14
+PIECE_BYTES = 1 << 12
+BLOCK = 256  # pieces at a time
 UNKNOWN = "und"
 
 
@@ -42,8 +47,12 @@ class LanguageParameters:
 
 def presence(data: np.ndarray, offsets: np.ndarray, longest: int) -> np.ndarray:
     """texts x PLACES booleans: which hashed n-grams occur."""
-    out = np.zeros((len(offsets) - 1, PLACES), bool)
-    for row, (low, high) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+    return _marks(data, offsets[:-1], offsets[1:], longest)
+
+
+def _marks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest: int) -> np.ndarray:
+    out = np.zeros((len(starts), PLACES), bool)
+    for row, (low, high) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
         marks = out[row]
         for at in range(low, high, 1 << 20):  # long texts in pieces that overlap by an n-gram
             codes = LOWER[data[at : min(high, at + (1 << 20) + longest - 1)]].astype(np.uint32) + np.uint32(1)
@@ -57,38 +66,82 @@ def presence(data: np.ndarray, offsets: np.ndarray, longest: int) -> np.ndarray:
     return out
 
 
+def _cut(offsets: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, end) of the pieces of all texts; pieces of one text overlap by an n-gram."""
+    lengths = np.diff(offsets)
+    n = np.maximum(1, -(-lengths // PIECE_BYTES))
+    text = np.repeat(np.arange(len(n)), n)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+    start = offsets[:-1][text] + lengths[text] * number // n[text]
+    end = offsets[:-1][text] + lengths[text] * (number + 1) // n[text]
+    return text, start, np.minimum(end + longest - 1, offsets[1:][text])
+
+
+def _blocks(column: pa.Array, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, share of its text, presence over the root of its size) of the pieces of a column, by blocks."""
+    data, offsets = text_bytes(column)
+    text, start, end = _cut(offsets, longest)
+    share = (1 / np.bincount(text, minlength=len(column)))[text].astype(np.float32)
+    for at in range(0, len(text), BLOCK):
+        own = slice(at, at + BLOCK)
+        marks = _marks(data, start[own], end[own], longest)
+        sizes = np.sqrt(np.maximum(marks.sum(axis=1), 1)).astype(np.float32)
+        yield text[own], share[own], marks.astype(np.float32) / sizes[:, None]
+
+
+def profiles(column: pa.Array, longest: int) -> np.ndarray:
+    """texts x PLACES: the mean of each text's pieces; the kernel is the product of two profiles."""
+    out = np.zeros((len(column), PLACES), np.float32)
+    for text, share, marks in _blocks(column, longest):
+        np.add.at(out, text, marks * share[:, None])
+    return out
+
+
+def kernel_values(column: pa.Array, landmarks: np.ndarray, longest: int) -> np.ndarray:
+    """texts x landmarks, without a profile of the texts."""
+    out = np.zeros((len(column), len(landmarks)))
+    for text, share, marks in _blocks(column, longest):
+        np.add.at(out, text, (marks @ landmarks.T) * share[:, None])
+    return out
+
+
 def _place(value: np.ndarray, n: int) -> np.ndarray:
     return ((value + np.uint32(n * 0x01000193)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - 14)
 
 
-def _sample_rows(longest: int):
+def _sample_rows(make):
+    """Rows (lang, pick, digest, vector): ``make`` gives the vectors of a column of texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                marks = np.packbits(presence(*text_bytes(part.column("text")), longest), axis=1)
+            for at in range(0, len(batch), BLOCK):
+                part = batch.slice(at, BLOCK)
+                vectors = make(part.column("text")).astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("lang"), part.column("pick"), pa.array([m.tobytes() for m in marks], pa.binary())],
-                    ["lang", "pick", "marks"],
+                    [
+                        part.column("lang"),
+                        part.column("pick"),
+                        part.column("digest"),
+                        pa.array([v.tobytes() for v in vectors], pa.binary()),
+                    ],
+                    ["lang", "pick", "digest", "vector"],
                 )
 
     return run
 
 
+SAMPLE_ROWS = "lang string, pick double, digest string, vector binary"
+
+
 @dataclass
 class LanguageModel:
     names: list[str]
-    landmarks: np.ndarray  # landmarks x PLACES, booleans
+    landmarks: np.ndarray  # landmarks x PLACES, profiles
     coefficients: np.ndarray  # landmarks x languages
     longest: int
 
-    def kernel(self, marks: np.ndarray) -> np.ndarray:
-        common = marks.astype(np.float32) @ self.landmarks.T.astype(np.float32)
-        sizes = np.sqrt(np.outer(marks.sum(axis=1), self.landmarks.sum(axis=1)))
-        return common / np.maximum(sizes, 1)
-
-    def decide(self, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        values = self.kernel(marks) @ self.coefficients
+    def decide(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        values = kernel_values(column, self.landmarks, self.longest) @ self.coefficients
         best = values.argmax(axis=1)
         weight = np.exp(6 * (values - values.max(axis=1, keepdims=True)))
         return best, 1 / weight.sum(axis=1)
@@ -106,25 +159,26 @@ def train(labelled: DataFrame, p: LanguageParameters = LanguageParameters()) ->
         share = F.when(F.col("lang") == row["lang"], F.lit(p.per_language / row["n"])).otherwise(share)
     chosen = labelled.where("lang is not null and text is not null").withColumn("pick", pick).where(F.col("pick") < share)
     most = len(top) * p.per_language * 2
-    rows = (
-        chosen.select("lang", "pick", "text")
-        .mapInArrow(_sample_rows(p.longest), "lang string, pick double, marks binary")
-        .orderBy("pick", "lang", "marks")
-        .limit(most)
-        .collect()
-    )
-    if not rows:
+    chosen = chosen.select("lang", "pick", F.sha2("text", 256).alias("digest"), "text")
+    sample = stage(chosen.orderBy("pick", "lang", "digest").limit(most), "language-sample")
+    order = ["pick", "lang", "digest"]
+    keys = sample.select(*order).orderBy(*order).collect()
+    if not keys:
         return None
-    names = sorted({r["lang"] for r in rows})
-    marks = np.unpackbits(np.array([np.frombuffer(bytes(r["marks"]), np.uint8) for r in rows]), axis=1).astype(bool)
-    y = np.array([[1.0 if r["lang"] == n else -1.0 for n in names] for r in rows])
+    names = sorted({r["lang"] for r in keys})
     # Landmarks in turn from each language, so that small ones are represented.
-    turns = {n: [i for i, r in enumerate(rows) if r["lang"] == n] for n in names}
-    order = [i for _, _, i in sorted((k, n, i) for n, own in turns.items() for k, i in enumerate(own))]
-    landmarks = marks[order[: p.landmarks]]
+    turns = {n: [r for r in keys if r["lang"] == n] for n in names}
+    ranked = [r for _, _, r in sorted((k, n, r) for n, own in turns.items() for k, r in enumerate(own))]
+    wanted = list(dict.fromkeys(ranked))[: p.landmarks]  # an equal row adds nothing
+    texts = sample.join(sample.sparkSession.createDataFrame(wanted), order, "left_semi").dropDuplicates(order)
+    found = texts.mapInArrow(_sample_rows(lambda column: profiles(column, p.longest)), SAMPLE_ROWS).orderBy(*order).collect()
+    landmarks = np.array([np.frombuffer(bytes(r["vector"]), np.float32) for r in found])
+    rows = sample.mapInArrow(_sample_rows(lambda column: kernel_values(column, landmarks, p.longest)), SAMPLE_ROWS)
+    rows = rows.orderBy(*order).collect()
+    cross = np.array([np.frombuffer(bytes(r["vector"]), np.float32) for r in rows]).astype(float)
+    y = np.array([[1.0 if r["lang"] == n else -1.0 for n in names] for r in rows])
     model = LanguageModel(names, landmarks, np.zeros((len(landmarks), len(names))), p.longest)
-    cross = model.kernel(marks).astype(float)
-    among = model.kernel(landmarks).astype(float)
+    among = (landmarks @ landmarks.T).astype(float)
     weight = 1.0 / np.array([len(turns[r["lang"]]) for r in rows])  # languages count alike
     weight *= len(rows) / weight.sum()
     left = cross.T @ (cross * weight[:, None]) + p.ridge * len(rows) * among + 1e-6 * np.eye(len(landmarks))
@@ -136,9 +190,9 @@ def _decisions(model: LanguageModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = pa.array(model.names, pa.string())
         for batch in slices(batches, "text", 1 << 20):
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                best, score = model.decide(presence(*text_bytes(part.column("text")), model.longest))
+            for at in range(0, len(batch), BLOCK):
+                part = batch.slice(at, BLOCK)
+                best, score = model.decide(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("lettered"), names.take(pa.array(best)), pa.array(score.astype(float))],
                     ["doc_id", "lettered", "lang_pred", "score"],

@@ -187,6 +187,33 @@ def test_presence_of_long_texts_does_not_depend_on_pieces():
     assert whole.sum() <= len(codes) and whole.sum() > 0.9 * len(codes)
 
 
+def test_long_texts_of_rich_vocabulary_keep_their_language(spark):
+    """1 MB of ever new words: nearly all n-grams of the letters occur, their frequencies tell the language."""
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    weights = {lang: [rng.random() ** 2 + 0.02 for _ in letters] for lang in ("aa", "bb", "cc", "dd")}
+
+    def text(lang, size):
+        stream = rng.choices(letters, weights[lang], k=size)
+        for i in range(0, size, rng.randrange(4, 9)):
+            stream[i] = " "
+        return "".join(stream)
+
+    learnt = [(i * 4 + k, text(lang, 1500), lang) for i in range(30) for k, lang in enumerate(weights)]
+    long = [(1000 + k, text(lang, size), lang) for size in (3000, 1_000_000) for k, lang in enumerate(weights)]
+    schema = "doc_id long, text string, lang string"
+    found = langid.languages(spark.createDataFrame(long, schema), spark.createDataFrame(learnt, schema))
+    assert sorted((r.doc_id, r.lang_pred) for r in found.collect()) == sorted((i, lang) for i, _, lang in long)
+
+
+def test_kernel_values_are_products_of_profiles_over_all_pieces():
+    rng = random.Random(4)
+    column = pa.array(["ab" * 40, None, "".join(rng.choice("abcdefgh ") for _ in range(3 * langid.PIECE_BYTES + 5)), "c"])
+    whole = langid.profiles(column, 3)
+    assert np.allclose(langid.kernel_values(column, whole, 3), whole @ whole.T, atol=1e-5)
+    assert ((whole > 0) == langid.presence(*words.text_bytes(column), 3)).all()
+
+
 def test_cover_trees_cover_and_hold_each_row_once():
     rng = np.random.default_rng(2)
     points = np.concatenate([rng.normal(c, 1, (200, 5)) for c in (0, 20, 40)] + [np.zeros((50, 5))])
