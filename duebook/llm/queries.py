@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, near_dedup, pii, quality, tokencount, topk, toxicity, urlrules
+from . import decontam, langid, lexical, mixing, near_dedup, pii, prefix_join, quality, tokencount, topk, toxicity, trie, urlrules
 from .staging import class_labels, crc_fold, shared_root, table
 
 URL_RULES = (
@@ -100,6 +100,22 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over conversations that start with up to five turns of the one whose id ends their hundred."""
+    places = trie.turn_places(table(spark, sf_dir, "conversations"))
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    return trie.prefix_nodes(*trie.spliced(places, base, F.crc32(F.col("conv_id").cast("string")) % 6))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = prefix_join.prefix_join(table(spark, sf_dir, "documents"), prefix_join.PrefixJoin(percent=85, size=4))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -111,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_url_filter": op9_url_filter,
     "op10_token_count": op10_token_count,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 ORACLE = {
@@ -156,4 +175,83 @@ ORACLE = {
                (s.size * (s.base + (c.threshold is null or s.h <= c.threshold)::int))::bigint as taken
         from summed s left join cut c on s.source is not distinct from c.source
     """,
+    "op11_prefix_trie": r"""
+        with recursive own as (
+            select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+                   row_number() over (partition by conv_id order by turn nulls first) as place
+            from conversations where conv_id is not null
+        ), ids as (
+            select distinct conv_id,
+                   list_reduce(flatten(list_transform(string_split(conv_id::varchar, ''),
+                                                      lambda c: [ord(c)::bigint, 0, 0, 0, 0, 0, 0, 0])),
+                               lambda crc, x: xor(xor(crc, x) >> 1, case when xor(crc, x) & 1 = 1 then 3988292384 else 0 end),
+                               4294967295::bigint) as crc
+            from own
+        ), plans as (
+            select conv_id, conv_id - conv_id % 100 as base, xor(crc, 4294967295) % 6 as heads from ids
+        ), taken as (
+            select p.conv_id, p.heads, count(o.place) as n
+            from plans p left join own o on o.conv_id = p.base and o.place <= p.heads group by all
+        ), turns as (
+            select p.conv_id, o.place, role, text from plans p join own o on o.conv_id = p.base and o.place <= p.heads
+            union all
+            select t.conv_id, o.place - t.heads + t.n, role, text
+            from taken t join own o on o.conv_id = t.conv_id and o.place > t.heads
+        ), paths as (
+            select conv_id, 0::bigint as depth, '' as key, null::varchar as up, 0::bigint as chars from ids
+            union all
+            select t.conv_id, t.place, md5(concat(p.key, '/', md5(t.role), md5(t.text))), p.key, length(t.text)
+            from paths p join turns t on t.conv_id = p.conv_id and t.place = p.depth + 1
+        ), lengths as (
+            select conv_id, max(depth) as depth from paths group by conv_id
+        ), nodes as (
+            select p.key, any_value(p.up) as up, min(p.conv_id) as conv_id, p.depth, count(*) as n_convs,
+                   any_value(p.chars) as chars,
+                   coalesce(string_agg(p.conv_id::varchar, ',' order by p.conv_id) filter (where l.depth = p.depth), '') as ends
+            from paths p join lengths l on l.conv_id = p.conv_id group by p.key, p.depth
+        ), children as (
+            select up, count(*) as n from nodes where up is not null group by up
+        ), figures as (
+            select n.*, coalesce(c.n, 0) as n_children from nodes n left join children c on c.up = n.key
+        ), totals as (
+            select a.key, a.depth, sum((f.n_convs - 1) * f.chars) as saved, count(*) filter (where f.n_children = 0) as leaves
+            from figures f join paths a on a.conv_id = f.conv_id and a.depth <= f.depth group by a.key, a.depth
+        )
+        select f.conv_id, f.depth, u.conv_id as parent_conv_id, f.n_convs, f.n_children, t.leaves as n_leaves,
+               t.saved::bigint as saved_tokens, sha256(f.ends) as ends_sha256
+        from figures f join totals t on t.key = f.key and t.depth = f.depth
+        left join nodes u on u.key = f.up and u.depth = f.depth - 1
+    """,
+    "op12_lexical_search": r"""
+        with docs as (
+            select row_number() over () as row, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents
+        ), items as (
+            select row_number() over () as item, item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark
+        ), wanted as (
+            select item, any_value(item_id) as item_id, term, count(*) as times from items group by item, term
+        ), sizes as (
+            select count(*)::hugeint as n, sum(len(terms))::hugeint as l from docs where len(terms) > 0
+        ), lengths as (
+            select row, doc_id, 75 + ((25 * len(terms) * n) // l)::bigint as m from docs, sizes where len(terms) > 0
+        ), counts as (
+            select row, term, count(*) as tf from (select row, unnest(terms) as term from docs)
+            where term in (select term from wanted) group by row, term
+        ), weights as (
+            select term, floor(1000 * ln((2 * n + 2)::double / (2 * df + 1)::double))::bigint as w
+            from (select term, count(*) as df from counts group by term), sizes
+        ), scores as (
+            select q.item, q.item_id, l.doc_id, l.row,
+                   sum(q.times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+            from counts c join weights using (term) join lengths l using (row) join wanted q using (term)
+            group by q.item, q.item_id, l.doc_id, l.row
+        ), ranked as (
+            select *, row_number() over (partition by item order by score desc, doc_id nulls last) as rank
+            from scores where score > 0
+        )
+        select item_id, rank::int as rank, doc_id, score from ranked where rank <= 20
+    """,
 }
