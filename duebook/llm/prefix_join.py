@@ -3,10 +3,11 @@
 The n-grams of a set are put into one global order, rare ones first. Two sets with the similarity
 asked for share one of the first n - ceil(t n) + 1 n-grams of either, its prefix. Documents with
 equal prefixes and sizes are collapsed into one group. An inverted list of prefix n-grams brings
-groups together: the groups of one n-gram are sorted by size and chained where sizes allow a link, so
-a list gives as many edges as it has members. Within the connected groups, group pairs are filtered
-by their sizes and by what their two prefixes leave possible, and the pairs that remain are expanded to
-their members and verified on whole sets, unless these are already connected.
+groups together. Pairs of groups that meet in short lists are counted and filtered by their sizes and by
+what that number leaves possible; a long list is chained in the order of sizes, where these allow a
+link, so that it gives as many edges as it has members. Within the connected groups, all group pairs
+are filtered by their sizes and their whole prefixes, and the pairs that remain are expanded to their
+members and verified on whole sets, unless these are already connected.
 
 The order is by hashed counts: n-grams of a place of ``counters`` share one count, of fixed size
 whatever the corpus. Any order finds every link; rare first keeps common passages out of prefixes.
@@ -46,8 +47,10 @@ class PrefixJoin:
 
     percent: int = 85
     size: int = 4
-    counter_bits: int = 21
+    counter_bits: int = 23
     chunk_bits: int = 16
+    short_list: int = 8
+    held_pairs: int = 500_000
     block_grams: int = 1_000_000
     block_members: int = 2048
 
@@ -75,7 +78,8 @@ def _counts(p: PrefixJoin):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << p.counter_bits, np.int64)
         for batch in slices(batches, "text"):
-            counts += np.bincount(_counter(_sets(batch, p.size)[0], p.counter_bits), minlength=len(counts))
+            places, found = np.unique(_counter(_sets(batch, p.size)[0], p.counter_bits), return_counts=True)
+            counts[places] += found
         for chunk, part in enumerate(counts.reshape(-1, 1 << min(p.chunk_bits, p.counter_bits))):
             if part.any():
                 packed = zlib.compress(part.astype(np.uint32 if part.max() < 1 << 32 else np.int64).tobytes(), 1)
@@ -124,10 +128,10 @@ def ordered(grams: np.ndarray, levels: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _prefixes(p: PrefixJoin, levels: np.ndarray):
-    """Size, digests and prefix of each set; of the copies in a task only the first has its prefix."""
+    """Size, digest, group and prefix of each set; of a group's rows in a task only the first has the prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen: set[int] = set()
         for batch in slices(batches, "text"):
             sets, pointers = _sets(batch, p.size)
             d1, d2 = set_digests(sets, pointers)
@@ -139,65 +143,129 @@ def _prefixes(p: PrefixJoin, levels: np.ndarray):
             ]
             cuts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
             flat = (np.concatenate(parts) if parts else np.zeros(0, np.uint64)).view(np.int64)
-            g1, _ = set_digests(flat.view(np.uint64), cuts.astype(np.int64))
+            # A group is named by its prefix and size.
+            group, _ = set_digests(flat.view(np.uint64), cuts.astype(np.int64))
+            group = mix(group.view(np.uint64) + n.astype(np.uint64), 6).view(np.int64)
             prefixes = pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))
             shown = []
-            for row, key in enumerate(zip(d1.tolist(), d2.tolist(), strict=True)):
-                shown.append(None if key in seen else row)
+            for row, (key, filled) in enumerate(zip(group.tolist(), (n > 0).tolist(), strict=True)):
+                shown.append(row if filled and key not in seen else None)
                 seen.add(key)
-            columns = [batch.column("doc_id"), pa.array(n), pa.array(d1), pa.array(d2), pa.array(g1)]
+            columns = [batch.column("doc_id"), pa.array(n), pa.array(d1), pa.array(d2), pa.array(group)]
             yield pa.RecordBatch.from_arrays(
-                [*columns, prefixes.take(pa.array(shown, pa.int64()))], ["doc_id", "n", "d1", "d2", "g", "prefix"]
+                [*columns, prefixes.take(pa.array(shown, pa.int64()))], ["doc_id", "n", "d1", "d2", "group", "prefix"]
             )
 
     return run
 
 
-def _chains(p: PrefixJoin):
-    """Edges between neighbours of one n-gram's list, sorted by size, where sizes allow a link; and the
-    first and last entry of the task, as its neighbours are elsewhere."""
+LIST_SCHEMA = "a long, b long, na long, nb long, common long, gram long, part long"
+LIST_COLUMNS = ["a", "b", "na", "nb", "common", "gram", "part"]
+
+
+def _list_rows(rows: list[np.ndarray | None], length: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.nulls(length, pa.int64()) if r is None else pa.array(r) for r in rows], LIST_COLUMNS)
+
+
+def _merged_pairs(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows (a, b, na, nb, common) with the last one summed over equal pairs."""
+    rows = np.concatenate(parts)
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    opens = np.ones(len(rows), bool)
+    opens[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+    starts = np.flatnonzero(opens)
+    merged = rows[starts]
+    if len(starts):
+        merged[:, 4] = np.add.reduceat(rows[:, 4], starts)
+    return merged
+
+
+def _list_pairs(p: PrefixJoin):
+    """What the inverted lists, sorted by size, connect.
+
+    Of a short list all pairs of groups, counted over the task's lists. Of a long list, and of a task's
+    first and last, which may go on elsewhere, the neighbours, without a count, where sizes allow a link
+    (if two neighbours are too far apart in size, so is everything before from everything after).
+    Besides, the task's first and last entry.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, first, last = TaskContext.get().partitionId(), None, None
-        for batch in batches:
-            if not len(batch):
-                continue
-            gram, n, group = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "n", "node"))
-            if last is not None:
-                gram, n, group = (np.concatenate([[x], y]) for x, y in zip(last, (gram, n, group), strict=True))
-            else:
-                first = (int(gram[0]), int(n[0]), int(group[0]))
-            near = (gram[1:] == gram[:-1]) & (100 * n[:-1] >= p.percent * n[1:]) & (group[1:] != group[:-1])
-            a, b = np.maximum(group[1:], group[:-1])[near], np.minimum(group[1:], group[:-1])[near]
-            pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-            last = (int(gram[-1]), int(n[-1]), int(group[-1]))
-            if len(pairs):
-                none = pa.nulls(len(pairs), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none, none], ["a", "b", "gram", "n", "part"]
-                )
-        if first is not None:
-            ends = [(None, node, gram, n, part) for gram, n, node in (first, last)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in zip(*ends, strict=True)], ["a", "b", "gram", "n", "part"]
-            )
+        part, held, pending, first, last = TaskContext.get().partitionId(), [], None, None, None
+
+        def work(table: pa.Table, opening: bool, closing: bool) -> np.ndarray:
+            gram, n, group = (table.column(c).to_numpy() for c in ("gram", "n", "group"))
+            new = np.ones(len(gram), bool)
+            new[1:] = (gram[1:] != gram[:-1]) | (group[1:] != group[:-1])
+            gram, n, group = gram[new], n[new], group[new]
+            _, list_of, length = np.unique(gram, return_inverse=True, return_counts=True)
+            chained = length[list_of] > p.short_list
+            chained |= (opening & (gram == gram[0])) | (closing & (gram == gram[-1]))
+            near = (gram[1:] == gram[:-1]) & chained[1:] & (100 * n[:-1] >= p.percent * n[1:])
+            edges = np.unique(np.stack([group[1:][near], group[:-1][near]], axis=1), axis=0)
+            pairs = []
+            for away in range(1, p.short_list):
+                x, y = slice(None, -away), slice(away, None)
+                met = (gram[y] == gram[x]) & ~chained[y] & (100 * n[x] >= p.percent * n[y])
+                if met.any():
+                    found = np.stack([group[x][met], group[y][met], n[x][met], n[y][met], np.ones(met.sum(), np.int64)], axis=1)
+                    turn = found[:, 0] > found[:, 1]
+                    found[turn] = found[turn][:, [1, 0, 3, 2, 4]]
+                    pairs.append(found)
+            if pairs:
+                held.append(_merged_pairs(pairs))
+            return edges
+
+        for table in _complete_groups(batches, ["gram"]):
+            if pending is not None:
+                edges = work(pending[0], pending[1], False)
+                if len(edges):
+                    yield _list_rows([edges[:, 0], edges[:, 1], *[None] * 5], len(edges))
+                if sum(map(len, held)) > p.held_pairs:
+                    merged = _merged_pairs(held)
+                    held.clear()
+                    if len(merged) > p.held_pairs // 2:
+                        yield _list_rows([*merged.T, None, None], len(merged))
+                    else:
+                        held.append(merged)
+            ends = [tuple(int(table.column(c)[at].as_py()) for c in ("group", "n", "gram")) for at in (0, len(table) - 1)]
+            first, last = first or ends[0], ends[1]
+            pending = (table, pending is None)
+        if pending is None:
+            return
+        edges = work(pending[0], pending[1], True)
+        if len(edges):
+            yield _list_rows([edges[:, 0], edges[:, 1], *[None] * 5], len(edges))
+        if held:
+            merged = _merged_pairs(held)
+            yield _list_rows([*merged.T, None, None], len(merged))
+        (b1, n1, g1), (b2, n2, g2) = first, last
+        yield _list_rows([None, np.array([b1, b2]), None, np.array([n1, n2]), None, np.array([g1, g2]), np.array([part, part])], 2)
 
     return run
 
 
 def _proposed(groups: DataFrame, p: PrefixJoin) -> DataFrame:
-    """(a, b): edges that connect all groups between whose members a link is possible."""
-    lists = groups.select("node", "n", F.explode("prefix").alias("gram"))
+    """(a, b): edges that connect all groups between whose members a link is possible.
+
+    Groups that meet in short lists alone share exactly the n-grams counted there, so that sizes and
+    this number decide. Groups that meet in a long list are connected without a test.
+    """
+    lists = groups.select("group", "n", F.explode("prefix").alias("gram"))
     # By range, so that the list of a common n-gram may fill many partitions.
-    dealt = lists.repartitionByRange("gram", "n", "node").sortWithinPartitions("gram", "n", "node")
-    found = stage(dealt.mapInArrow(_chains(p), "a long, b long, gram long, n long, part long"), "prefix-chains")
-    edges = found.where("a is not null").select("a", "b")
+    dealt = lists.repartitionByRange("gram", "n", "group").sortWithinPartitions("gram", "n", "group")
+    found = stage(dealt.mapInArrow(_list_pairs(p), LIST_SCHEMA), "prefix-lists")
+    pairs = found.where("common is not null").groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
+    # beyond its prefix a set has ceil(t n) - 1 n-grams
+    rest = [F.expr(f"({p.percent} * {n} + 99) div 100 - 1") for n in ("na", "nb")]
+    least = F.expr(f"({p.percent} * (na + nb) + {99 + p.percent}) div {100 + p.percent}")
+    edges = pairs.where(F.col("common") + F.greatest(*rest) >= least).select("a", "b")
+    edges = edges.unionByName(found.where("common is null and a is not null").select("a", "b"))
     # Two rows for each task: its neighbours in the tasks before and after it.
-    ends = sorted(found.where("a is null").collect(), key=lambda r: (r["part"], r["gram"], r["n"], r["b"]))
+    ends = sorted(found.where("a is null").collect(), key=lambda r: (r["part"], r["gram"], r["nb"], r["b"]))
     across = [
-        (max(x["b"], y["b"]), min(x["b"], y["b"]))
+        (x["b"], y["b"])
         for x, y in zip(ends, ends[1:], strict=False)
-        if x["part"] != y["part"] and x["gram"] == y["gram"] and x["b"] != y["b"] and 100 * x["n"] >= p.percent * y["n"]
+        if x["part"] != y["part"] and x["gram"] == y["gram"] and x["b"] != y["b"] and 100 * x["nb"] >= p.percent * y["nb"]
     ]
     if across:
         edges = edges.unionByName(groups.sparkSession.createDataFrame(across, "a long, b long"))
@@ -305,34 +373,31 @@ def prefix_join(documents: DataFrame, p: PrefixJoin = PrefixJoin()) -> DataFrame
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     levels = gram_levels(texts.select("text"), p)
     rows = stage(
-        texts.mapInArrow(_prefixes(p, levels), "doc_id long, n long, d1 long, d2 long, g long, prefix array<long>"),
+        texts.mapInArrow(_prefixes(p, levels), "doc_id long, n long, d1 long, d2 long, group long, prefix array<long>"),
         "prefix-rows",
     )
-    # Equal sets are one class; the number is fixed by writing it.
+    # Equal sets are one class; the number is fixed by writing it. Equal prefixes and sizes are one group.
     classes = rows.where("n > 0").groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("least_id"), F.max("n").alias("n"), F.max("g").alias("g")
+        F.min("doc_id").alias("least_id"), F.max("n").alias("n"), F.max("group").alias("group")
     )
     classes = stage(classes.withColumn("class", F.monotonically_increasing_id()), "prefix-classes")
-    # Groups: equal prefixes and sizes, named by their smallest class.
-    groups = classes.groupBy("g", "n").agg(F.min("class").alias("node"), F.count(F.lit(1)).alias("classes"))
-    groups = stage(groups, "prefix-groups")
-    # Any member's prefix is the group's; a class repeated over tasks repeats in the lists without harm.
-    leaders = classes.join(groups.select(F.col("node").alias("class"), "classes"), "class").select("d1", "d2", F.col("class").alias("node"), "n")
-    prefixes = rows.where("n > 0 and prefix is not null").select("d1", "d2", "prefix")
-    parts = components(_proposed(prefixes.join(leaders, ["d1", "d2"]).select("node", "n", "prefix"), p), "prefix-parts")
-    alone = groups.where("classes > 1").select("node").join(parts, "node", "left_anti").select("node", F.col("node").alias("root"))
-    parts = stage(parts.unionByName(alone), "prefix-roots")
-
-    wanted = classes.join(groups.select("g", "n", "node"), ["g", "n"]).join(parts, "node")
-    wanted = stage(wanted.select("root", F.col("node").alias("group"), "class", "least_id", "d1", "d2", "n"), "prefix-wanted")
+    groups = stage(classes.groupBy("group").agg(F.count(F.lit(1)).alias("classes")), "prefix-groups")
+    parts = components(_proposed(rows.where("prefix is not null").select("group", "n", "prefix"), p), "prefix-parts")
+    parts = parts.withColumnRenamed("node", "group")
+    alone = groups.where("classes > 1").select("group").join(parts, "group", "left_anti")
+    parts = stage(parts.unionByName(alone.withColumn("root", F.col("group"))), "prefix-roots")
+
+    wanted = stage(classes.join(parts, "group").select("root", "group", "class", "least_id", "d1", "d2", "n"), "prefix-wanted")
+    totals = wanted.groupBy("root").agg(F.sum("n").alias("grams_in"), F.count(F.lit(1)).alias("members_in"))
+    blocks = F.greatest(F.ceil(F.col("grams_in") / p.block_grams), F.ceil(F.col("members_in") / p.block_members)).cast("int")
+    # The blocks are dealt by name; whole sets join at the end, so they are shuffled twice and no more.
+    named = wanted.join(totals.where("members_in > 1"), "root").withColumn("blocks", blocks)
+    dealt = split_blocks(named, "root", "blocks", "class").select(*PART_KEYS, "own_block", "class", "group", "d1", "d2")
     # The texts are read a second time, for the members of connected groups only; one plan at every size.
-    ids = wanted.select(F.col("least_id").alias("wanted_id")).distinct().hint("merge")
+    ids = named.select(F.col("least_id").alias("wanted_id")).distinct().hint("merge")
     sets = texts.join(ids, texts.doc_id.eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
     sets = sets.mapInArrow(_full_sets(p), "d1 long, d2 long, grams binary").dropDuplicates(["d1", "d2"])
-    totals = wanted.groupBy("root").agg(F.sum("n").alias("grams_in"), F.count(F.lit(1)).alias("members_in"))
-    blocks = F.greatest(F.ceil(F.col("grams_in") / p.block_grams), F.ceil(F.col("members_in") / p.block_members)).cast("int")
-    ready = wanted.join(sets, ["d1", "d2"]).join(totals, "root").withColumn("blocks", blocks).withColumnRenamed("class", "node")
-    dealt = split_blocks(ready, "root", "blocks", "node").select(*PART_KEYS, "own_block", "node", "group", "grams")
+    dealt = dealt.join(sets, ["d1", "d2"]).select(*PART_KEYS, "own_block", F.col("class").alias("node"), "group", "grams")
     links = (
         dealt.repartition(*PART_KEYS)
         .sortWithinPartitions(*PART_KEYS)
@@ -341,7 +406,7 @@ def prefix_join(documents: DataFrame, p: PrefixJoin = PrefixJoin()) -> DataFrame
     linked = components(links, "prefix-links").select(F.col("node").alias("class"), "root")
 
     named = classes.join(linked, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    named = named.join(groups.select("g", "n", "classes"), ["g", "n"])
+    named = named.join(groups, "group")
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     labels = named.join(least, "root").select("d1", "d2", "component_id", "classes")
     found = rows.select("doc_id", "n", "d1", "d2").join(labels, ["d1", "d2"], "left")
