@@ -47,10 +47,10 @@ class PrefixJoin:
 
     percent: int = 85
     size: int = 4
-    counter_bits: int = 23
+    counter_bits: int = 22
     chunk_bits: int = 16
     short_list: int = 8
-    held_pairs: int = 500_000
+    held_pairs: int = 250_000
     block_grams: int = 1_000_000
     block_members: int = 2048
 
@@ -76,17 +76,14 @@ def _counts(p: PrefixJoin):
     """A task's counts of n-grams by hashed place, in compressed chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << p.counter_bits, np.int64)
+        counts = np.zeros(1 << p.counter_bits, np.uint32)
         for batch in slices(batches, "text"):
             places, found = np.unique(_counter(_sets(batch, p.size)[0], p.counter_bits), return_counts=True)
-            counts[places] += found
+            counts[places] += found.astype(np.uint32)
         for chunk, part in enumerate(counts.reshape(-1, 1 << min(p.chunk_bits, p.counter_bits))):
             if part.any():
-                packed = zlib.compress(part.astype(np.uint32 if part.max() < 1 << 32 else np.int64).tobytes(), 1)
-                wide = bool(part.max() >= 1 << 32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk]), pa.array([wide]), pa.array([packed], pa.binary())], ["chunk", "wide", "counts"]
-                )
+                packed = zlib.compress(part.tobytes(), 1)
+                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([packed], pa.binary())], ["chunk", "counts"])
 
     return run
 
@@ -99,8 +96,8 @@ def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     at, total = None, None
     for batch in batches:
-        for chunk, wide, packed in zip(*[batch.column(c).to_pylist() for c in ("chunk", "wide", "counts")], strict=True):
-            part = np.frombuffer(zlib.decompress(packed), np.int64 if wide else np.uint32).astype(np.float64)
+        for chunk, packed in zip(*[batch.column(c).to_pylist() for c in ("chunk", "counts")], strict=True):
+            part = np.frombuffer(zlib.decompress(packed), np.uint32).astype(np.float64)
             if chunk != at:
                 if at is not None:
                     yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([level(total)], pa.binary())], ["chunk", "levels"])
@@ -113,7 +110,7 @@ def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def gram_levels(texts: DataFrame, p: PrefixJoin) -> np.ndarray:
     """How common the n-grams of each hashed place are, one byte a place, over all texts."""
-    parts = texts.mapInArrow(_counts(p), "chunk long, wide boolean, counts binary")
+    parts = texts.mapInArrow(_counts(p), "chunk long, counts binary")
     summed = parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_levels, "chunk long, levels binary")
     levels = np.zeros(1 << p.counter_bits, np.uint8)
     width = 1 << min(p.chunk_bits, p.counter_bits)
