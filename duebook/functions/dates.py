@@ -24,14 +24,17 @@ def month_bounds(as_of: date) -> tuple[date, date]:
 def in_month(col: Column, as_of: date, dtype: T.DataType | None = None) -> Column:
     """True in the as-of month, NULL for a NULL date.
 
-    A half-open range of literals, so that it reaches the scan as a pushed filter. A text column
-    (by ``dtype``) is compared as ISO text, which reaches the scan as well, and must hold a date:
-    comparing it with dates would cast every row and fail on the zero date.
+    A half-open range of literals, so that it reaches the scan as a pushed filter. Of a text column (by
+    ``dtype``) ``clean_date`` decides; what reaches the scan is a range of the year, from which only
+    text can be missing that is no date of the year: a date's text starts with its year unless blanks,
+    a sign or leading zeros precede it, and those sort below 1 or are the delete character.
     """
     first, following = month_bounds(as_of)
     if isinstance(dtype, T.StringType):
-        within = (col >= F.lit(first.isoformat())) & (col < F.lit(following.isoformat()))
-        return within & clean_date(col).isNotNull()
+        day, year = clean_date(col), f"{first.year:04d}"
+        of_year = (col >= F.lit(year)) & (col < F.lit(year[:-1] + chr(ord(year[-1]) + 1)))
+        odd = (col < F.lit("1")) | (col >= F.lit("\x7f"))
+        return (of_year | odd) & (day >= F.lit(first)) & (day < F.lit(following))
     return (col >= F.lit(first)) & (col < F.lit(following))
 
 

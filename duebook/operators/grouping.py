@@ -6,8 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duebook.functions.dates import clean_date
+from duebook.functions.packing import can_unpack, pack, unpack_last, widths
 from duebook.functions.predicates import starts_ci
 from duebook.functions.text import full_name
 
@@ -21,18 +23,41 @@ def latest_by(
 ) -> DataFrame:
     """The row with the largest ``order`` per key, in one pass instead of a self-join by the maximum.
 
-    The maximum runs over the whole (order, columns) struct, so the choice is fixed even
-    where a replica holds an id twice.
+    The maximum runs over all of (order, columns), so the choice is fixed even where a replica holds an id
+    twice: over one packed number where the columns fit it, which needs no sort, else over a struct.
     """
     if where is not None:
         df = df.where(where)
+    names = [order, *take]
+    room = widths(names, df.schema, exact=True)
+    if room is not None:
+        packed = pack(names, df.schema, room)
+        return df.groupBy(*keys).agg(*[F.max_by(c, packed).alias(c) for c in names])
     latest = F.max(F.struct(order, *take)).alias("__latest")
     return df.groupBy(*keys).agg(latest).select(*keys, "__latest.*")
 
 
-def pick_by(column: str, order: Sequence[str], where: Column | None = None) -> Column:
-    """A column of the first row by ``order``: a fixed choice where any row would do."""
+def pick_by(
+    column: str,
+    order: Sequence[str],
+    where: Column | None = None,
+    schema: T.StructType | None = None,
+    digits: Mapping[str, int] | None = None,
+) -> Column:
+    """A column of the first row by ``order``: a fixed choice where any row would do.
+
+    With the rows' ``schema`` the order is packed into one number (``functions.packing``), which is
+    aggregated without a sort; ``digits`` may state a narrower range for a column, and a value beyond its
+    range raises. Without it, or where the columns cannot be packed, the minimum runs over a struct.
+    """
     names = list(dict.fromkeys([*order, column]))
+    # What comes after the column cannot change its value.
+    names = names[: names.index(column) + 1]
+    room = None if schema is None or not can_unpack(schema[column].dataType) else widths(names, schema, digits)
+    if room is not None:
+        packed = pack(names, schema, room)
+        first = F.min(packed if where is None else F.when(where, packed))
+        return unpack_last(first, schema[column].dataType, room)
     row = F.struct(*[F.col(c) for c in names])
     return F.min(row if where is None else F.when(where, row))[column]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -97,14 +98,61 @@ def conform(
     return lookup(df, Lookup(dim, {on[0]: on[1]}, take))
 
 
-def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join whose right side may hold very many rows of one key; no dedupe.
+# A task takes this much without trouble, and a key cannot hold more than its table.
+TASK_BYTES = 64 << 20
+HEAVY_ROWS = 1_000_000
 
-    In a left outer join only the left side of a hot partition can be split. The matched
-    part is therefore an inner join, where AQE can split either side, and the unmatched
-    rows come from an anti join against the distinct keys.
+_SIZE = re.compile(r"sizeInBytes=([0-9.]+)(?:E\+?([0-9]+))? ([KMGTPE]?)i?B")
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size of the frame, from file sizes and statistics; no job runs. None where it says
+    nothing (Spark's default for a source it cannot measure)."""
+    text = df.sparkSession.sql("explain cost select * from {frame}", frame=df).first()[0]
+    found = _SIZE.search(text)
+    if found is None:
+        return None
+    value = float(found[1]) * 10 ** int(found[2] or 0) * 1024 ** " KMGTPE".index(found[3] or " ")
+    return None if value >= 7 * 1024**6 else int(value)
+
+
+def heavy_keys(df: DataFrame, on: Sequence[str], over: int = HEAVY_ROWS) -> DataFrame:
+    """(keys, __salts): keys with more than ``over`` rows, and over how many parts to deal them.
+
+    Counted map-side, on the key columns alone; a table of n rows has at most n / over such keys.
+    """
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > over)
+    return counts.select(*on, F.ceil(F.col("__rows") / over).cast("int").alias("__salts"))
+
+
+def left_join_many(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    *,
+    over: int = HEAVY_ROWS,
+    task_bytes: int = TASK_BYTES,
+) -> DataFrame:
+    """Left join whose right side may hold very many rows of one key; no dedupe. Each side is read once.
+
+    In a left outer join only the left side of a hot partition can be split by AQE. Keys with more than
+    ``over`` rows on the right, and only those, are therefore dealt over parts: their right rows to one
+    part each, their left rows to every part, and a left row stays unmatched in a part only where its
+    key is not heavy, as a heavy key has matches. Whatever its keys, a right side of at most
+    ``task_bytes`` by the optimizer needs none of this.
     """
     on = list(on)
-    matched = left.join(right, on, "inner")
-    missing = left.join(right.select(*on).distinct(), on, "left_anti")
-    return matched.unionByName(missing, allowMissingColumns=True)
+    size = estimated_bytes(right)
+    if size is not None and size <= task_bytes:
+        return left.join(right, on, "left")
+    heavy = F.broadcast(heavy_keys(right, on, over))
+    salts = F.coalesce("__salts", F.lit(1))
+    # Dealt by the row's number in its task, so that equal rows spread as well.
+    dealt = right.join(heavy, on, "left").withColumn("__part", F.pmod(F.monotonically_increasing_id(), salts))
+    dealt = dealt.drop("__salts").withColumn("__met", F.lit(True))
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), salts.cast("bigint") - 1))
+    spread = left.join(heavy, on, "left").withColumn("__part", parts)
+    joined = spread.join(dealt, [*on, "__part"], "left")
+    kept = joined.where(F.col("__met").isNotNull() | F.col("__salts").isNull())
+    more = [c for c in right.columns if c not in on]
+    return kept.select(*on, *[c for c in left.columns if c not in on], *more)

@@ -17,20 +17,25 @@ from duebook.operators.select import sort_created
 from duebook.plans.shared import branded, by_id, named
 
 
-def month_payments(ctx: Context) -> DataFrame:
-    """Active, approved payments of the as-of month with their bank and form names.
+def approved_payments(ctx: Context) -> DataFrame:
+    """Active, approved payments of the as-of month.
 
     The month is cut here, before the roll-up, because a range on the payment's own date
     reaches the scan; after the roll-up it would sit above an aggregate.
     """
-    r, active = ctx.registry, ctx.rules.required("active_status")
-    payments = r.read(
+    active = ctx.rules.required("active_status")
+    payments = ctx.registry.read(
         "payment",
         "payment_id", "sale_id", "bank_id", "form_id", "paid_on", "created_on", "amount", "surcharge",
         "folio", "concept", "status", "approved_on",
         where=lambda df: (F.col("status") == active) & column_in_month(df, "paid_on", ctx.as_of),
     )
-    approved = payments.where(clean_date(F.col("approved_on")).isNotNull()).drop("status", "approved_on")
+    return payments.where(clean_date(F.col("approved_on")).isNotNull()).drop("status", "approved_on")
+
+
+def with_names(ctx: Context, approved: DataFrame) -> DataFrame:
+    """Payments with their bank and form names."""
+    r = ctx.registry
     named_rows = lookup_chain(
         approved,
         [
@@ -50,17 +55,18 @@ def month_payments(ctx: Context) -> DataFrame:
 
 def income_sales(ctx: Context, grain: str = "payment") -> DataFrame:
     r, rules = ctx.registry, ctx.rules
-    payments = month_payments(ctx)
+    approved = approved_payments(ctx)
     # Flows and deposits are joined left from the month's payments: those of other months go before
-    # they are grouped, so that the cost is the month's and not the history's.
+    # they are grouped, so that the cost is the month's and not the history's. Only keys are needed there,
+    # so they come from the payments before any lookup.
     key = r.keys("payment_id", "sale_id")
     flows = r.read(
         "payment_flow",
         "payment_id", "sale_id", "status", "flow_amount", "flow_concept",
         where=F.col("status") == rules.required("active_status"),
-    ).drop("status").join(payments.select(*key), key, "left_semi")
+    ).drop("status").join(approved.select(*key), key, "left_semi")
     rolled = payment_rollup(
-        payments,
+        with_names(ctx, approved),
         flows,
         grain=grain,
         amount=rules.concept_amount,
@@ -69,7 +75,7 @@ def income_sales(ctx: Context, grain: str = "payment") -> DataFrame:
     # A payment may have several deposits of one user: distinct pairs before the join.
     paid = r.keys("payment_id")
     deposits = lookup_chain(
-        r.read("deposit", "payment_id", "assigned_to").join(payments.select(*paid), paid, "left_semi"),
+        r.read("deposit", "payment_id", "assigned_to").join(approved.select(*paid), paid, "left_semi"),
         [by_id(ctx, named(ctx, "user", "user_id"), "user_id", {"assigned_by": "name"}, "assigned_to")],
     )
     deposits = deposits.select(*paid, "assigned_by").distinct()

@@ -38,14 +38,30 @@ def test_month_range_reaches_the_scan(name, column, spark, small):
 
 
 def test_month_range_of_text_dates_reaches_the_scan(spark, tmp_path):
-    """Zero dates as text neither fail the filter nor keep it from the scan."""
+    """Zero dates as text neither fail the filter nor keep a range of the year from the scan."""
     rows = [("1998-07-01",), ("1998-07-31",), ("1998-08-01",), ("0000-00-00",), ("1998-07-99",), (None,)]
+    rows += [("1997-07-05",), ("1998",), ("05/07/1998",)]
     spark.createDataFrame(rows, "paid_on string").write.parquet(f"{tmp_path}/t")
     read = spark.read.parquet(f"{tmp_path}/t")
     kept = read.where(column_in_month(read, "paid_on", AS_OF))
     assert sorted(r[0] for r in kept.collect()) == ["1998-07-01", "1998-07-31"]
     pushed = next(line for line in plan(kept).splitlines() if "PushedFilters" in line)
-    assert "GreaterThanOrEqual(paid_on,1998-07-01)" in pushed and "LessThan(paid_on,1998-08-01)" in pushed
+    assert "GreaterThanOrEqual(paid_on,1998)" in pushed and "LessThan(paid_on,1999)" in pushed
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["aging_one_pass", "join_correlated_top1", "agg_required_total", "agg_any_value", "top1_per_key"],
+)
+def test_picks_by_a_packed_number_need_no_sort(name, spark, small):
+    text = plan(QUERIES[name](spark, small))
+    assert "SortAggregate" not in text and "HashAggregate" in text
+
+
+def test_month_payments_take_part_in_semi_joins_without_their_lookups(spark, small):
+    for name in ("report_income_sales", "report_income_by_concept"):
+        tree = plan(QUERIES[name](spark, small)).split("\n\n")[0]
+        assert tree.count("Scan parquet") <= 17
 
 
 def test_status_reaches_the_scan(spark, small):

@@ -97,12 +97,40 @@ def test_hot_key_is_split_even_below_a_grouping_by_the_same_key(spark, eager_spl
     assert grouped.where("k = 7").first()["n"] > 20000
 
 
-def test_hot_detail_key_is_split_in_left_join_many(spark, eager_splitting):
-    joined = joins.left_join_many(small_side(spark), hot_rows(spark), ["k"])
-    assert "SortMergeJoin(skew=true)" in final_plan(joined)
-    plain = small_side(spark).join(hot_rows(spark), ["k"], "left")
-    assert "skew=true" not in final_plan(plain)
-    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+def test_hot_detail_key_is_dealt_in_left_join_many(spark, eager_splitting):
+    """Heavy keys on the right, on the left, on both sides and on none; NULL keys; rows without a match."""
+    names = small_side(spark).unionByName(spark.createDataFrame([(None, "none"), (5000, "alone")], "k long, name string"))
+    hot_names = names.unionByName(spark.range(400).select(F.lit(7).cast("long").alias("k"), F.lit("again").alias("name")))
+    few = hot_rows(spark, 900).unionByName(spark.createDataFrame([(None, 1, "x")], "k long, id long, v string"))
+    for left, right in ((names, hot_rows(spark)), (hot_names, few), (hot_rows(spark, 3000), names), (few, hot_names)):
+        joined = joins.left_join_many(left, right, ["k"], over=100, task_bytes=0)
+        plain = left.join(right, ["k"], "left")
+        assert joined.columns == plain.columns
+        assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+
+
+def test_heavy_keys_fill_several_partitions(spark, eager_splitting):
+    joined = joins.left_join_many(small_side(spark), hot_rows(spark), ["k"], over=2000, task_bytes=0)
+    assert joins.heavy_keys(hot_rows(spark), ["k"], 2000).collect() == [(7, 11)]
+    sizes = joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= 4 and max(r["count"] for r in sizes) < 12_000
+
+
+def test_small_detail_is_joined_plainly_and_each_side_read_once(spark, small):
+    for name, most in (("join_composite_key", 2), ("join_one_to_many_detail", 2), ("report_income_fund_split", 6)):
+        plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("lineitem.parquet") <= 2 and plan.count("orders.parquet") <= 2, name
+        assert plan.count("Union") == 0, name
+
+
+def test_estimates_come_without_a_job(spark, small):
+    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("estimates", "no job")
+    size = joins.estimated_bytes(lines)
+    assert 1_000 < size < 10_000_000 and not tracker.getJobIdsForGroup("estimates")
+    assert joins.estimated_bytes(lines.crossJoin(lines).crossJoin(lines)) > size
+    spark.sparkContext.setJobGroup("rest", "")
 
 
 def test_broadcast_needs_a_checked_size(spark):

@@ -488,8 +488,10 @@ ORACLE: dict[str, str] = {
     "filter_current_month": "select o_orderkey, o_orderdate, o_totalprice from orders"
     " where year(o_orderdate) = 1998 and month(o_orderdate) = 7",
     "filter_current_month_text": """
-        select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day, o_totalprice from orders
-        where o_orderkey % 5 <> 0 and year(o_orderdate) = 1998 and month(o_orderdate) = 7""",
+        select o_orderkey, o_totalprice, case o_orderkey % 5
+            when 1 then strftime(o_orderdate, '%Y-%-m-%-d') when 2 then strftime(o_orderdate, '  %Y-%m-%d ')
+            when 3 then strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') else strftime(o_orderdate, '%Y-%m-%d') end as day
+        from orders where o_orderkey % 5 <> 0 and year(o_orderdate) = 1998 and month(o_orderdate) = 7""",
     "agg_milestone_date_text": """
         select user_id, min(cast(ts as date)) filter (where event_type ilike 'sign%' and event_id % 5 <> 0)
             as reached_on

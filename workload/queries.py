@@ -279,8 +279,12 @@ def _(spark, sf):
 
 @query("filter_current_month_text")
 def _(spark, sf):
-    """Dates kept as text, some of them the zero date."""
-    text = F.expr("case when o_orderkey % 5 = 0 then '0000-00-00' else date_format(o_orderdate, 'yyyy-MM-dd') end")
+    """Dates kept as text: the zero date, padded text, months and days of one digit, a time behind."""
+    text = F.expr(
+        "case o_orderkey % 5 when 0 then '0000-00-00' when 1 then date_format(o_orderdate, 'yyyy-M-d')"
+        " when 2 then date_format(o_orderdate, '  yyyy-MM-dd ') when 3 then date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')"
+        " else date_format(o_orderdate, 'yyyy-MM-dd') end"
+    )
     orders = table(spark, sf, "orders").select("o_orderkey", text.alias("day"), "o_totalprice")
     return orders.where(dates.column_in_month(orders, "day", AS_OF))
 
@@ -431,15 +435,17 @@ def _instalments(spark, sf):
 
 
 def _per_sale(spark, sf, **aggregates):
-    """One grouping by sale; exact sums leave as doubles."""
-    grouped = _instalments(spark, sf).groupBy("sale_id").agg(*[c.alias(n) for n, c in aggregates.items()])
+    """One grouping by sale; exact sums leave as doubles. An aggregate may be a function of the rows' schema."""
+    rows = _instalments(spark, sf)
+    aggregates = {n: c if isinstance(c, F.Column) else c(rows.schema) for n, c in aggregates.items()}
+    grouped = rows.groupBy("sale_id").agg(*[c.alias(n) for n, c in aggregates.items()])
     decimals = [f.name for f in grouped.schema if f.dataType.typeName() == "decimal"]
     return select.doubles(grouped, decimals)
 
 
 @query("join_correlated_top1")
 def _(spark, sf):
-    return _per_sale(spark, sf, next_due_balance=aging.next_due_balance(AS_OF))
+    return _per_sale(spark, sf, next_due_balance=lambda schema: aging.next_due_balance(AS_OF, schema))
 
 
 @query("join_coowner_key")
@@ -473,7 +479,7 @@ def _(spark, sf):
 
 @query("agg_required_total")
 def _(spark, sf):
-    return _per_sale(spark, sf, required_total=aging.required_total(AS_OF))
+    return _per_sale(spark, sf, required_total=lambda schema: aging.required_total(AS_OF, schema))
 
 
 @query("agg_overdue_billed")
@@ -517,8 +523,10 @@ def _(spark, sf):
 
 @query("agg_any_value")
 def _(spark, sf):
-    account = grouping.pick_by("l_suppkey", ["l_shipdate", "l_linenumber", "l_suppkey"])
-    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(account.alias("account"))
+    lines = table(spark, sf, "lineitem")
+    order = ["l_shipdate", "l_linenumber", "l_suppkey"]
+    account = grouping.pick_by("l_suppkey", order, schema=lines.schema, digits={"l_linenumber": 5})
+    return lines.groupBy("l_orderkey").agg(account.alias("account"))
 
 
 @query("agg_milestone_date")
@@ -597,7 +605,8 @@ def _(spark, sf):
     lines = table(spark, sf, "lineitem")
     order = ["l_shipdate", "l_linenumber", "l_partkey", "l_extendedprice"]
     return lines.groupBy("l_orderkey").agg(
-        F.min("l_shipdate").alias("first_at"), grouping.pick_by("l_partkey", order).alias("first_part")
+        F.min("l_shipdate").alias("first_at"),
+        grouping.pick_by("l_partkey", order, schema=lines.schema, digits={"l_linenumber": 5}).alias("first_part"),
     )
 
 
