@@ -171,7 +171,7 @@ def _profile(p: NearDedup):
             n = len(values)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *[batch.column(c) for c in ("doc_id", "t1", "t2")],
                     pa.array(pointers[1:] - pointers[:-1]),
                     pa.array(d1),
                     pa.array(d2),
@@ -180,7 +180,7 @@ def _profile(p: NearDedup):
                         pa.array(np.arange(n + 1, dtype=np.int32) * p.bands), pa.array(bands.reshape(-1))
                     ),
                 ],
-                ["doc_id", "n_shingles", "d1", "d2", "sig", "buckets"],
+                ["doc_id", "t1", "t2", "n_shingles", "d1", "d2", "sig", "buckets"],
             )
 
     return run
@@ -346,19 +346,60 @@ def _exact_forests(p: NearDedup, bounds: list[tuple[int, int]]):
     return run
 
 
+def text_digest(text: str = "text") -> list:
+    """Two hashes that name a text; a missing one is the empty text."""
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return [F.xxhash64(whole).alias("t1"), F.xxhash64(F.lit(31), whole).alias("t2")]
+
+
 def near_duplicates(documents: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
     """Per row of ``documents``: doc_id, n_shingles, component_id, kept."""
+    found = _components_of(documents, p)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(documents: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
+    """``documents`` with one row of each component: that with the smallest id, rows without id last, then
+    by a digest of the text. Rows are told apart by id and text, so another text of an id that goes
+    stays; of rows equal in both one stays. Empty sets are no copies of anything and all stay."""
+    key = ["doc_id", "t1", "t2"]
+    found = _components_of(documents, p).where("n_shingles > 0").groupBy("root", *key).agg(F.count(F.lit(1)).alias("rows"))
+    found = stage(found, "near-keys")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), *key)).alias("first"))
+    met = found.join(first, "root")
+    stays = F.struct(F.col("doc_id").isNull(), *key) == F.col("first")
+    gone = stage(met.where(~stays).select(*[F.col(c).alias(f"_{c}") for c in key]), "near-gone")
+    again = stage(met.where(stays & (F.col("rows") > 1)).select(*[F.col(c).alias(f"_{c}") for c in key]), "near-repeated")
+    named = documents.withColumns(dict(zip(["_own1", "_own2"], text_digest(), strict=True)))
+
+    def same(other: DataFrame) -> list:
+        id_of = named["doc_id"].cast("long")
+        return [id_of.eqNullSafe(other["_doc_id"]), named["_own1"] == other["_t1"], named["_own2"] == other["_t2"]]
+
+    kept = named.join(gone, same(gone), "left_anti")
+    if again.isEmpty():
+        return kept.drop("_own1", "_own2")
+    once = kept.join(again, same(again), "left_anti")
+    # Only rows that are equal in id and text are grouped.
+    twice = kept.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "_own1", "_own2"])
+    return once.unionByName(twice).drop("_own1", "_own2")
+
+
+def _components_of(documents: DataFrame, p: NearDedup) -> DataFrame:
+    """Per row: doc_id, t1, t2 (of the text), n_shingles, component_id, root (of its component, any number)."""
     bounds = least_matches(p)
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *text_digest()
+    )
     rows = stage(
         texts.mapInArrow(
-            _profile(p), "doc_id long, n_shingles long, d1 long, d2 long, sig binary, buckets array<long>"
+            _profile(p), "doc_id long, t1 long, t2 long, n_shingles long, d1 long, d2 long, sig binary, buckets array<long>"
         ),
         "near-rows",
     )
     filled = rows.where("n_shingles > 0")
 
-    # Equal sets are one class, named by its smallest id (a class without ids by its digest).
+    # Equal sets are one class; its number is fixed by writing it.
     classes = stage(
         filled.groupBy("d1", "d2")
         .agg(
@@ -367,7 +408,7 @@ def near_duplicates(documents: DataFrame, p: NearDedup = NearDedup()) -> DataFra
             F.first("sig").alias("sig"),
             F.first("buckets").alias("buckets"),
         )
-        .withColumn("node", F.coalesce("least_id", "d1")),
+        .withColumn("node", F.monotonically_increasing_id()),
         "near-classes",
     )
     shared = classes.select("node", F.explode("buckets").alias("bucket"))
@@ -391,7 +432,7 @@ def near_duplicates(documents: DataFrame, p: NearDedup = NearDedup()) -> DataFra
     )
     # The merge hint keeps one plan at every size: the texts are shuffled once, whatever the number of ids.
     ids = wanted.select(F.col("least_id").alias("wanted_id")).distinct().hint("merge")
-    sets = texts.join(ids, texts.doc_id.eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
+    sets = texts.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
     sets = sets.mapInArrow(_with_sets(p), "d1 long, d2 long, shingles binary").dropDuplicates(["d1", "d2"])
     totals = wanted.groupBy("root").agg(F.sum("n_shingles").alias("total"))
     ready = (
@@ -409,14 +450,8 @@ def near_duplicates(documents: DataFrame, p: NearDedup = NearDedup()) -> DataFra
 
     named = classes.select("d1", "d2", "node", "least_id").join(linked, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
-    # A root may be a digest; the component carries the smallest real id of its members.
-    real = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    labels = named.join(real, "root").select("d1", "d2", "component_id")
-    found = rows.select("doc_id", "n_shingles", "d1", "d2").join(labels, ["d1", "d2"], "left")
+    least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    labels = named.join(least, "root").select("d1", "d2", "root", "component_id")
+    found = rows.select("doc_id", "t1", "t2", "n_shingles", "d1", "d2").join(labels, ["d1", "d2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select(
-        "doc_id",
-        "n_shingles",
-        component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
-    )
+    return found.select("doc_id", "t1", "t2", "n_shingles", component.alias("component_id"), "root")

@@ -28,7 +28,8 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+ALNUM = re.compile(r"[A-Za-z0-9]")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 DIGIT = re.compile(r"[0-9]")
 
@@ -106,6 +107,19 @@ def _matches(pattern: re.Pattern, valid: Callable[[str], bool]) -> Callable[[str
     return find
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """The longest run from each start that ends with a word and has a right checksum: capitals after the
+    number, such as a bank's code, belong to the run but not to the number."""
+    found = IBAN.search(text)
+    while found:
+        start, end = found.span()
+        ends = (i for i in range(end, start + 14, -1) if text[i - 1] != " " and not ALNUM.match(text, i))
+        last = next((i for i in ends if mod97(text[start:i])), None)
+        if last is not None:
+            yield start, last
+        found = IBAN.search(text, last or start + 1)
+
+
 def _card(text: str) -> bool:
     digits = text.replace(" ", "").replace("-", "")
     return 16 <= len(digits) <= 19 and luhn(digits)
@@ -116,7 +130,7 @@ FINDERS: dict[str, Callable[[str], Iterator[tuple[int, int]]]] = {
     "ip": _matches(IP, lambda s: all(map(_small_part, s.split(".")))),
     "card": _matches(CARD, _card),
     "phone": _matches(PHONE, lambda s: 8 <= len(DIGIT.findall(s)) <= 15),
-    "iban": _matches(IBAN, mod97),
+    "iban": ibans,
     "ssn": _matches(SSN, _issued),
 }
 

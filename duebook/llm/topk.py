@@ -275,8 +275,10 @@ def _pair_results(k: int):
                 queries, data = (pickle.loads(batch.column(c)[i].as_py()) for c in ("q_block", "d_block"))
                 best = Best(len(queries.ids), k)
                 # a score below the k-th of the first search is no result: places start one below it
-                start = pickle.loads(batch.column("worsts")[i].as_py())
-                best.scores[:] = np.where(start > Best.NONE, start - 1, start)[:, None]
+                start = batch.column("worsts")[i].as_py()
+                if start is not None:
+                    start = pickle.loads(start)
+                    best.scores[:] = np.where(start > Best.NONE, start - 1, start)[:, None]
                 search(queries, data, best)
                 found = best.ids < np.iinfo(np.int64).max
                 rows = np.repeat(np.arange(len(queries.ids)), found.sum(axis=1))
@@ -289,9 +291,10 @@ def _pair_results(k: int):
 
 
 def _salted(rows: DataFrame, counts: DataFrame, size: int) -> DataFrame:
-    """``leaf`` and ``part``: the vectors of a pivot dealt by hash to parts of about ``size`` rows."""
+    """``leaf`` and ``part``: the vectors of a pivot dealt by hash to parts of about ``size`` rows. ``row`` is a
+    written number of the row, as very many may be equal otherwise."""
     parts = counts.withColumn("parts", F.ceil(F.col("n") / size).cast("int")).drop("n")
-    return rows.join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("vec_id", "v"), "parts").cast("int"))
+    return rows.join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("vec_id", "v", "row"), "parts").cast("int"))
 
 
 def top_k(vectors: DataFrame, every: int = 20, p: SearchParameters = SearchParameters()) -> DataFrame:
@@ -316,7 +319,8 @@ def top_k(vectors: DataFrame, every: int = 20, p: SearchParameters = SearchParam
     wanted = max(1, min(p.pivots, shape["n"] // p.data_block))
     pivots = points[greedy_net(points, 0.0, wanted)]
 
-    assigned = stage(rows.mapInArrow(_to_pivots(pivots, width), "vec_id long, v array<long>, leaf int"), "topk-rows")
+    placed = rows.mapInArrow(_to_pivots(pivots, width), "vec_id long, v array<long>, leaf int")
+    assigned = stage(placed.withColumn("row", F.monotonically_increasing_id()), "topk-rows")
     is_query = F.col("vec_id") % every == 0
     counts = assigned.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum(is_query.cast("long")).alias("queries"))
     per_leaf = sorted(counts.collect(), key=lambda r: r["leaf"])  # a row per pivot at most
@@ -338,7 +342,7 @@ def top_k(vectors: DataFrame, every: int = 20, p: SearchParameters = SearchParam
         held += r["queries"]
     group_of = spark.createDataFrame(groups, "leaf int, q_group int")
     asked = assigned.where(is_query).join(group_of, "leaf").select(F.col("q_group").alias("leaf"), "vec_id", "v")
-    asked = asked.distinct()
+    asked = asked.distinct().withColumn("row", F.lit(0))
     query_blocks = stage(
         _salted(asked, asked.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")), p.query_block)
         .select("leaf", "part", "vec_id", "v")
@@ -354,7 +358,9 @@ def top_k(vectors: DataFrame, every: int = 20, p: SearchParameters = SearchParam
     # First search: in one data block of a pivot of the query block's group.
     home = spark.createDataFrame(groups, "home int, leaf int").groupBy("leaf").agg(F.min("home").alias("home"))
     near = q.join(home, "leaf").select("q", "q_block", "home")
-    near = near.join(d.where("part = 0").select(F.col("leaf").alias("home"), "d_block"), "home")
+    least_part = d.groupBy("leaf").agg(F.min("part").alias("part"))
+    homes = d.join(least_part, ["leaf", "part"]).select(F.col("leaf").alias("home"), "d_block")
+    near = near.join(homes, "home")
     first = near.select("q", "q_block", "d_block").repartition("q").mapInArrow(_own_worst(p.k), "q string, worst double, worsts binary")
     first = stage(first, "topk-first")
 

@@ -1,12 +1,15 @@
-"""Web addresses by list rules and by association rules mined level by level.
+"""Web addresses by list rules and by association rules mined with Spark's FP-growth.
 
 List rules name a host and the start of a path; the longest that fits decides. For all other
 addresses the method decides: address tokens of labelled pages are mined for combinations that go
 with blocked pages; all rules that are frequent and sure enough, and not implied by a shorter rule at
-least as sure, are matched through an index from each rule's rarest token. FP-growth would list all
-frequent sets first, 2^n of a page of n tokens; only sets with fewer pages than each part are listed.
+least as sure, are matched through an index from each rule's rarest token. No token, page or rule is
+left out for its number: tokens that occur on exactly the same pages are mined as one item, and
+only blocked pages are mined. A page of n items that are frequent in all combinations still has 2^n
+frequent sets; where that many do not fit, a higher support is the remedy.
 
-Defined results: a null address, or one without ``://``, has an empty host and path and is judged
+Defined results: an empty table gives no rows, addresses of any length are used whole, of equally sure rules
+the last in token order is named, a null address, or one without ``://``, has an empty host and path and is judged
 by the method on no tokens (allow); without labels nothing is mined and all are allowed; labels of
 equal addresses are counted each; contradicting labels of a document count as bad; rows without an id are judged like any other; equal rows get equal
 results; an unlabelled page is never learnt from; extra columns are ignored.
@@ -15,9 +18,9 @@ results; an unlabelled page is never learnt from; extra columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import count
 from math import ceil
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +45,14 @@ class ListRule:
 
 @dataclass(frozen=True)
 class MiningParameters:
-    """``support``: the part of the labelled pages that are blocked and hold a rule's tokens."""
+    """``support``: the part of the labelled pages that are blocked and hold a rule's tokens, ``least_pages``
+    their number at least. ``z``: the standard errors of the lower bound of a rule's confidence, which must lie
+    above the part of all labelled pages that are blocked."""
 
     support: float = 0.001
     confidence: float = 0.6
+    least_pages: int = 2
+    z: float = 3.0
 
 
 def host_of(url: str) -> Column:
@@ -88,50 +95,74 @@ def address_tokens(url: str, host: str, path: str) -> Column:
     )
 
 
+def _merged_items(rows: DataFrame, total: int) -> DataFrame:
+    """(token, item): tokens on exactly the same token sets are one item, named by the smallest of them; tokens of
+    every page say nothing and are left out. Only tokens of blocked pages are looked at."""
+    held = rows.select("row", "n", "bad", F.explode("tokens").alias("token"))
+    # The pages of a token by their number and two sums over hashes: equal for equal pages.
+    marks = [F.sum(F.xxhash64(F.lit(k), "row").cast("decimal(20,0)")).alias(f"h{k}") for k in (1, 2)]
+    pages = held.groupBy("token").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("rows"), *marks)
+    pages = stage(pages.where((F.col("bad") > 0) & (F.col("n") < total)), "url-tokens")
+    names = pages.groupBy("rows", "h1", "h2").agg(F.min("token").alias("item"))
+    return pages.join(names, ["rows", "h1", "h2"]).select("token", "item", "bad")
+
+
+def contained(sets: DataFrame, rules: DataFrame) -> DataFrame:
+    """Rows of ``sets`` (with ``tokens``, distinct) joined to every row of ``rules`` (with ``needed``, distinct) whose
+    tokens they hold, by way of an index with one row for each rule, at its rarest token."""
+    each = rules.select("needed", F.explode("needed").alias("token")).distinct()
+    uses = each.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
+    rarest = each.join(uses, "token").groupBy("needed").agg(F.min(F.struct("uses", "token"))["token"].alias("token"))
+    hits = sets.withColumn("token", F.explode("tokens")).join(rules.join(rarest, "needed"), "token").drop("token")
+    return hits.where(F.size(F.array_except("needed", "tokens")) == 0)
+
+
+def surely_above(base: float, z: float) -> Column:
+    """Whether the lower Wilson bound of ``bad`` of ``n`` pages lies above the ``base`` rate."""
+    n, part = F.col("n").cast("double"), F.col("bad") / F.col("n")
+    spread = z * F.sqrt(part * (1 - part) / n + z * z / (4 * n * n))
+    return (part + z * z / (2 * n) - spread) / (1 + z * z / n) > base
+
+
 def mined_rules(labelled: DataFrame, p: MiningParameters = MiningParameters()) -> DataFrame | None:
     """(tokens, confidence, support) of the rules for blocked pages, or None; ``labelled``: tokens, bad.
 
-    A rule surer than each of its parts has fewer pages than each of them, and so has each part of it:
-    token sets of this kind that are frequent with blocked pages, and not yet quite sure, are extended
-    by one token a level. What the support leaves is the only bound.
+    FP-growth lists the token sets that are frequent on blocked pages; each is then counted on all
+    labelled pages by a join. A rule is frequent, sure, by its lower confidence bound surer than a page
+    without any rule, and surer than each rule on a part of its tokens.
     """
     total = labelled.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("int")).alias("bad")).first()
     if not total["n"] or not total["bad"]:
         return None
-    least = max(1, ceil(p.support * total["n"]))
+    least = max(p.least_pages, ceil(p.support * total["n"]))
     rows = labelled.groupBy(F.array_sort(F.array_distinct("tokens")).alias("tokens")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")
     )
-    # Rows without blocked pages are held too: they count against a rule.
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    held = stage(rows.select("row", "n", "bad", F.explode("tokens").alias("t")).withColumn("tokens", F.array("t")).drop("t"), "url-held")
-    # A token of every page says nothing: it has no fewer pages than the empty set.
-    known = labelled.sparkSession.createDataFrame([([], total["n"], 0.0)], "part array<string>, part_n long, part_top double")
-    rules: DataFrame | None = None
-    for size in count(1):
-        sums = held.groupBy("tokens").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where(F.col("bad") >= least)
-        parts = F.explode(F.transform("tokens", lambda t: F.array_except("tokens", F.array(t)))).alias("part")
-        met = sums.select("tokens", "n", "bad", parts).join(known, "part").groupBy("tokens", "n", "bad")
-        met = met.agg(F.count(F.lit(1)).alias("met"), F.min("part_n").alias("part_n"), F.max("part_top").alias("part_top"))
-        sure = (F.col("bad") / F.col("n")).alias("confidence")
-        met = met.where((F.col("met") == size) & (F.col("n") < F.col("part_n"))).select("tokens", "n", "bad", "part_top", sure)
-        level = stage(met, "url-sets")
-        found = level.where((F.col("confidence") >= p.confidence) & (F.col("confidence") > F.col("part_top")))
-        found = found.select("tokens", "confidence", (F.col("bad") / F.lit(total["n"])).alias("support"))
-        rules = found if rules is None else rules.unionByName(found)
-        open_sets = level.where("bad < n")
-        if open_sets.isEmpty():
-            return stage(rules, "url-rules")
-        known = open_sets.select(
-            F.col("tokens").alias("part"), F.col("n").alias("part_n"), F.greatest("confidence", "part_top").alias("part_top")
-        )
-        # Sets of one row that differ in their last token only make the row's sets of the next level.
-        alive = held.join(open_sets.select("tokens"), "tokens", "left_semi")
-        last = F.array_sort(F.collect_list(F.element_at("tokens", -1)))
-        heads = alive.groupBy("row", "n", "bad", F.slice("tokens", 1, size - 1).alias("head")).agg(last.alias("last"))
-        pairs = heads.where(F.size("last") > 1).select("row", "n", "bad", "head", "last", F.posexplode("last").alias("at", "one"))
-        pairs = pairs.select("row", "n", "bad", "head", "one", F.explode(F.expr("slice(last, at + 2, size(last))")).alias("two"))
-        held = stage(pairs.select("row", "n", "bad", F.concat("head", F.array("one", "two")).alias("tokens")), "url-held")
+    rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "url-sets")
+    items = stage(_merged_items(rows, total["n"]).where(F.col("bad") >= least), "url-names")
+    named = rows.select("row", "n", "bad", F.explode("tokens").alias("token")).join(items.select("token", "item"), "token")
+    named = stage(named.groupBy("row", "n", "bad").agg(F.collect_set("item").alias("tokens")), "url-items")
+    # One row for each blocked page, as FP-growth has no weights.
+    blocked = named.where("bad > 0").select(F.explode(F.sequence(F.lit(1), F.col("bad"))), F.col("tokens").alias("items")).drop("col")
+    if blocked.isEmpty():
+        return None
+    pages = blocked.count()
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / pages)).fit(blocked)
+    sets = stage(model.freqItemsets.select(F.array_sort("items").alias("needed")), "url-frequent")
+    counted = contained(named, sets).groupBy("needed").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    confidence = F.col("bad") / F.col("n")
+    counted = counted.where((F.col("bad") >= least) & (confidence >= p.confidence) & surely_above(total["bad"] / total["n"], p.z))
+    counted = stage(counted.select("needed", confidence.alias("confidence"), (F.col("bad") / F.lit(total["n"])).alias("support")), "url-counted")
+    # A rule goes if a rule on a part of its tokens is as sure.
+    longer = counted.select(F.col("needed").alias("tokens"), F.col("confidence").alias("own"))
+    implied = contained(longer, counted).where((F.size("needed") < F.size("tokens")) & (F.col("confidence") >= F.col("own")))
+    kept = counted.join(implied.select(F.col("tokens").alias("needed")).distinct(), "needed", "left_anti")
+    # Items stand for all their tokens.
+    rule = kept.withColumn("rule", F.monotonically_increasing_id())
+    rule = stage(rule, "url-kept")
+    tokens = rule.select("rule", F.explode("needed").alias("item")).join(items, "item").groupBy("rule")
+    tokens = tokens.agg(F.array_sort(F.collect_set("token")).alias("tokens"))
+    return stage(tokens.join(rule, "rule").select("tokens", "confidence", "support"), "url-rules")
 
 
 def mine(labelled: DataFrame, p: MiningParameters = MiningParameters()) -> list[tuple[tuple[str, ...], float, float]]:
@@ -146,12 +177,7 @@ def match(tokens: DataFrame, rules: DataFrame | list[tuple[tuple[str, ...], floa
     if not isinstance(rules, DataFrame):
         schema = "tokens array<string>, confidence double, support double"
         rules = tokens.sparkSession.createDataFrame([(list(t), c, s) for t, c, s in rules], schema)
-    each = rules.select(F.col("tokens").alias("needed"), "confidence", F.explode("tokens").alias("token"))
-    uses = each.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
-    rarest = F.min(F.struct("uses", "token"))["token"].alias("token")
-    index = each.join(uses, "token").groupBy("needed", "confidence").agg(rarest)
-    hits = tokens.select("signature", "tokens", F.explode("tokens").alias("token")).join(index, "token")
-    full = hits.where(F.size(F.array_except("needed", "tokens")) == 0)
+    full = contained(tokens, rules.select(F.col("tokens").alias("needed"), "confidence"))
     best = F.max(F.struct("confidence", "needed")).alias("best")
     return full.groupBy("signature").agg(best).select(
         "signature", F.col("best.confidence").alias("confidence"), F.col("best.needed").alias("matched")

@@ -150,6 +150,11 @@ def test_validators_confirm_and_context_moves_scores():
     text = "transfer to iban DE89 3704 0044 0532 0130 00 or DE88 3704 0044 0532 0130 00; ssn 123-45-6789, plain 123-45-6789"
     spans = pii.find_spans(text)
     assert [(s.kind, text[s.start : s.end]) for s in spans if s.kind == "iban"] == [("iban", "DE89 3704 0044 0532 0130 00")]
+    for behind in (" BIC COBADEFFXXX", " NOW PLEASE", ", X", " GB29 NWBK 6016 1331 9268 19", "", " A", " ABCDEFGHIJKLMNOPQRSTUVWXYZABCDEF"):
+        line = "DE89 3704 0044 0532 0130 00" + behind
+        found = [line[s.start : s.end] for s in pii.find_spans(line) if s.kind == "iban"]
+        assert found == ["DE89 3704 0044 0532 0130 00", *[behind.strip()] * ("GB29" in behind)]
+    assert not [s for s in pii.find_spans("DE89370400440532013000X DE8937040044053201300") if s.kind == "iban"]
     near = pii.find_spans("card number 4111 1111 1111 1111")[0]
     far = pii.find_spans("x 4111 1111 1111 1111")[0]
     assert near.kind == far.kind == "card" and near.score > far.score
@@ -325,6 +330,16 @@ def test_rules_beyond_the_most_frequent_tokens_and_long_addresses(spark):
     assert mined == {("path:spam",): 1.0}
 
 
+def test_no_rule_rests_on_chance(spark):
+    """Few blocked pages of a rare token are no rule where blocked pages are common, and are one where they are not."""
+    rows = [([f"path:p{i % 50}", "host:h"], i % 3 == 0) for i in range(300)] + [(["path:rare", "host:h"], True)] * 3
+    rows += [(["path:bad", "host:h"], True)] * 40 + [(["path:once", "host:x"], True)]
+    mined = urlrules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))
+    assert {r[0] for r in mined} == {("path:bad",)}
+    rows = [([f"path:p{i % 50}", "host:h"], False) for i in range(2000)] + [(["path:rare", "host:h"], True)] * 3
+    assert {r[0] for r in urlrules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))} == {("path:rare",)}
+
+
 def test_matching_finds_the_surest_rule(spark):
     rules = [(("a", "b"), 0.8, 0.1), (("c",), 0.7, 0.1), (("b", "d"), 0.9, 0.1)]
     sets = [("1", ["a", "b"]), ("2", ["a"]), ("3", ["b", "c", "d"]), ("4", ["c"])]
