@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages; each works on all that its predecessor kept.
 
-Defined results beyond those of the operators: ids that are null are kept unless a stage rejects the
-row itself; of equal rows under one id the near-duplicate stage keeps one.
+Defined results beyond those of the operators: a stage judges rows and not ids, so a row without an id,
+or under an id that another row has, stays or goes by its own text; empty texts stay; an empty table goes
+through; extra columns are kept; ties go as in the operators.
 """
 
 from __future__ import annotations
@@ -17,26 +18,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of 0.8 or more, the one with the smallest id. An id goes if any of its
-    rows is a copy of another id."""
-    found = near_dedup.near_duplicates(docs, near_dedup.NearDedup(percent=80))
-    gone = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = stage(gone, "pipeline-copies")
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    counts = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-    again = stage(counts.where("_n > 1").select(F.col("doc_id").alias("_again")), "pipeline-repeated")
-    if again.isEmpty():
-        return kept
-    # Of equal rows under one id one stays; only the rows of such ids are grouped.
-    once = kept.join(again, kept["doc_id"] == again["_again"], "left_anti")
-    twice = kept.join(again, kept["doc_id"] == again["_again"], "left_semi")
-    return once.unionByName(twice.dropDuplicates(["doc_id", "text"]))
+    """One document of each group of 0.8 or more, the one with the smallest id."""
+    return near_dedup.one_of_each(docs, near_dedup.NearDedup(percent=80))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row goes if its own text is contaminated, whatever other rows of its id, or without one, hold."""
     found = decontam.contaminated_texts(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.select(F.col("text_key").alias("_gone"))
+    # Written first, so that its size is known where the corpus meets it.
+    gone = stage(found.select(F.col("text_key").alias("_gone")), "pipeline-contaminated")
     return docs.join(gone, decontam.text_key("text") == gone["_gone"], "left_anti")
 
 
