@@ -147,8 +147,9 @@ def left_join_many(
         return left.join(right, on, "left")
     heavy = F.broadcast(heavy_keys(right, on, over))
     salts = F.coalesce("__salts", F.lit(1))
-    # Dealt by the row's number in its task, so that equal rows spread as well.
-    dealt = right.join(heavy, on, "left").withColumn("__part", F.pmod(F.monotonically_increasing_id(), salts))
+    # By a hash of the row, which a task that runs again after a lost executor repeats; a number in the
+    # order of arrival would lose rows then. Rows equal in every column stay together.
+    dealt = right.join(heavy, on, "left").withColumn("__part", F.pmod(F.xxhash64(*right.columns), salts))
     dealt = dealt.drop("__salts").withColumn("__met", F.lit(True))
     parts = F.explode(F.sequence(F.lit(0).cast("bigint"), salts.cast("bigint") - 1))
     spread = left.join(heavy, on, "left").withColumn("__part", parts)
