@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .staging import split_blocks, stage
+from .staging import broadcast_if_few, split_blocks, stage
 from .words import SPACE, mix, reduce_by, shingle_sets, slices, text_bytes, word_hashes
 
 
@@ -369,6 +369,7 @@ def one_of_each(documents: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
     met = found.join(first, "root")
     stays = F.struct(F.col("doc_id").isNull(), *key) == F.col("first")
     gone = stage(met.where(~stays).select(*[F.col(c).alias(f"_{c}") for c in key]), "near-gone")
+    gone = broadcast_if_few(gone)
     again = stage(met.where(stays & (F.col("rows") > 1)).select(*[F.col(c).alias(f"_{c}") for c in key]), "near-repeated")
     named = documents.withColumns(dict(zip(["_own1", "_own2"], text_digest(), strict=True)))
 
@@ -379,6 +380,7 @@ def one_of_each(documents: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
     kept = named.join(gone, same(gone), "left_anti")
     if again.isEmpty():
         return kept.drop("_own1", "_own2")
+    again = broadcast_if_few(again)
     once = kept.join(again, same(again), "left_anti")
     # Only rows that are equal in id and text are grouped.
     twice = kept.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "_own1", "_own2"])

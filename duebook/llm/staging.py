@@ -27,6 +27,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_few(written: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A written table of narrow rows (under 100 bytes), with a broadcast hint if it is counted to have at most
+    ``rows``: below that one plan at every size, beyond it a join that shuffles both sides."""
+    return F.broadcast(written) if written.count() <= rows else written
+
+
 def crc_fold(doc_id: str | Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a missing id counts as the empty string."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
