@@ -8,7 +8,7 @@ through; extra columns are kept; ties go as in the operators.
 from __future__ import annotations
 
 from duebook.llm import decontam, mixing, near_dedup, pii, toxicity
-from duebook.llm.staging import class_labels, stage, table
+from duebook.llm.staging import broadcast_if_few, class_labels, stage, table
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +26,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """A row goes if its own text is contaminated, whatever other rows of its id, or without one, hold."""
     found = decontam.contaminated_texts(docs, table(spark, sf_dir, "benchmark"))
     # Written first, so that its size is known where the corpus meets it.
-    gone = stage(found.select(F.col("text_key").alias("_gone")), "pipeline-contaminated")
+    gone = broadcast_if_few(stage(found.select(F.col("text_key").alias("_gone")), "pipeline-contaminated"))
     return docs.join(gone, decontam.text_key("text") == gone["_gone"], "left_anti")
 
 
