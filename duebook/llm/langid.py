@@ -7,13 +7,17 @@ mean of their set sizes; that of two texts is the mean over all pairs of their p
 most ``PIECE_BYTES``, so that places do not fill up however long a text is. Pieces are scored by two
 matrix products: presence times landmarks, then kernel values times coefficients.
 
-The model is fitted on a bounded sample: about ``per_language`` texts of each of the ``languages``
-most frequent languages, chosen by a hash of the id. The texts of the sample are written; what reaches the
-driver is 64 KB for each landmark and a kernel value for each text and landmark.
-
-Defined results: a null or letterless text is ``und`` with score 0; without any labelled text all are
-``und``; rows without a language are scored and never learnt from; equal texts get equal results;
-score ties go to the first language in code point order; extra columns are ignored.
+The model is fitted on a bounded sample of every language, however many there are: about ``per_language``
+texts of each, fewer where there are more than ``sample / per_language`` languages but never under
+``least``, chosen by a hash of id and text. No step sorts or gathers whole texts: those of the sample are
+written where they are found, and their keys are ordered. Landmarks grow with the languages, in turn from
+each. What reaches the driver is 64 KB for each landmark and a kernel value for each text and landmark:
+at 70 languages 18 MB and 24 MB.
+
+Defined results: a null or letterless text is ``und`` with score 0; without any labelled text, or with an
+empty table, nothing is learnt and all are ``und``; rows without a language are scored and never learnt
+from; equal texts get equal results, and copies of a sampled row add nothing; score ties go to the first
+language in code point order; a text of any length is scored whole, piece by piece; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,8 +42,10 @@ UNKNOWN = "und"
 @dataclass(frozen=True)
 class LanguageParameters:
     per_language: int = 300
-    languages: int = 64
+    sample: int = 30_000
+    least: int = 24
     landmarks: int = 96
+    landmarks_per_language: int = 4
     longest: int = 4
     ridge: float = 1e-3
     seed: int = 5
@@ -149,19 +155,20 @@ class LanguageModel:
 
 def train(labelled: DataFrame, p: LanguageParameters = LanguageParameters()) -> LanguageModel | None:
     """From (doc_id, text, lang) of the rows to learn from; None without any."""
-    counts = labelled.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), "lang").limit(p.languages).collect()
-    if not top:
+    texts = [F.col(c).cast("string").alias(c) for c in ("lang", "text")]
+    known = labelled.where("lang is not null and text is not null").select("doc_id", *texts)
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not counts:
         return None
-    pick = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.lit(0.0)
-    for row in top:
-        share = F.when(F.col("lang") == row["lang"], F.lit(p.per_language / row["n"])).otherwise(share)
-    chosen = labelled.where("lang is not null and text is not null").withColumn("pick", pick).where(F.col("pick") < share)
-    most = len(top) * p.per_language * 2
-    chosen = chosen.select("lang", "pick", F.sha2("text", 256).alias("digest"), "text")
-    sample = stage(chosen.orderBy("pick", "lang", "digest").limit(most), "language-sample")
+    wanted = max(p.least, min(p.per_language, p.sample // len(counts)))
+    # One row for each language, so the broadcast grows with the languages and not with the texts.
+    shares = known.sparkSession.createDataFrame([(r["lang"], wanted / r["n"]) for r in counts], "lang string, share double")
+    pick = F.pmod(F.xxhash64(F.lit("language"), "doc_id", "text"), F.lit(1 << 52)) / float(1 << 52)
+    chosen = known.join(F.broadcast(shares), "lang").withColumn("pick", pick).where("pick < share")
     order = ["pick", "lang", "digest"]
+    chosen = chosen.select("lang", "pick", F.sha2("text", 256).alias("digest"), "text")
+    # Copies of a chosen row meet map-side, so one row repeated very often sends one text a task.
+    sample = stage(chosen.groupBy(*order).agg(F.first("text").alias("text")), "language-sample")
     keys = sample.select(*order).orderBy(*order).collect()
     if not keys:
         return None
@@ -169,9 +176,9 @@ def train(labelled: DataFrame, p: LanguageParameters = LanguageParameters()) ->
     # Landmarks in turn from each language, so that small ones are represented.
     turns = {n: [r for r in keys if r["lang"] == n] for n in names}
     ranked = [r for _, _, r in sorted((k, n, r) for n, own in turns.items() for k, r in enumerate(own))]
-    wanted = list(dict.fromkeys(ranked))[: p.landmarks]  # an equal row adds nothing
-    texts = sample.join(sample.sparkSession.createDataFrame(wanted), order, "left_semi").dropDuplicates(order)
-    found = texts.mapInArrow(_sample_rows(lambda column: profiles(column, p.longest)), SAMPLE_ROWS).orderBy(*order).collect()
+    wanted = ranked[: max(p.landmarks, p.landmarks_per_language * len(names))]
+    marked = sample.join(F.broadcast(sample.sparkSession.createDataFrame(wanted)), order, "left_semi")
+    found = marked.mapInArrow(_sample_rows(lambda column: profiles(column, p.longest)), SAMPLE_ROWS).orderBy(*order).collect()
     landmarks = np.array([np.frombuffer(bytes(r["vector"]), np.float32) for r in found])
     rows = sample.mapInArrow(_sample_rows(lambda column: kernel_values(column, landmarks, p.longest)), SAMPLE_ROWS)
     rows = rows.orderBy(*order).collect()
