@@ -8,9 +8,14 @@ tiles decides, so passages whose parts were moved around are caught too.
 Before the join a fixed-size bitmap of the benchmark's seeds drops most document seeds; what it
 lets through by chance finds no partner. Its size does not grow with either side.
 
-Defined results: a null or empty text shares nothing; an item of fewer words than a seed cannot be
-judged and is never reported; equal documents are reported each; repeated item ids are told apart
-by their text; a document without an id is reported with a null id; extra columns are ignored.
+Words are runs of letters and digits; each character of a script written without spaces is one. An item
+of fewer words than a seed is its own seed: the whole of it in a row is looked for, and found or not.
+
+Defined results: a null or empty text shares nothing; an item of fewer than ``shortest`` words is met by
+chance anywhere and is never reported; equal documents are reported each; repeated item ids are told apart
+by their text; a document without an id is reported with a null id; of several longest common runs the
+first in the document, then in the item, is marked; a text of any length is read whole, in pieces; an
+empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,30 +37,51 @@ BITMAP_BITS = 24
 @dataclass(frozen=True)
 class Tiling:
     """``seed``: the shortest tile, in words. ``coverage``: the part of an item's words under tiles
-    from which on a document counts as contaminated."""
+    from which on a document counts as contaminated. ``shortest``: the shortest item that is looked for."""
 
     seed: int = 5
+    shortest: int = 3
     coverage: float = 0.5
 
 
-def _seed_lists(seed: int, bitmap: np.ndarray | None):
-    """Rows (key, n_words, seed hash, positions) of each text; with a bitmap only for set bits."""
+def _whole_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the runs of ``size`` words, apart from those of seeds: items shorter than a seed."""
+    return mix(window_hashes(words, size), size)
+
+
+def _keep_set(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = hashes >> np.uint64(64 - BITMAP_BITS)
+    return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _runs_of(words: np.ndarray, pointers: np.ndarray, hashes: np.ndarray, size: int):
+    """(text, hash, place) of the runs of ``size`` words that lie within one text."""
+    place = np.arange(len(hashes))
+    text_of = np.repeat(np.arange(len(pointers) - 1), np.diff(pointers))[: len(hashes)]
+    valid = place + size <= pointers[1:][text_of]
+    return text_of[valid], hashes[valid], place[valid]
+
+
+def _seed_lists(p: Tiling, bitmap: np.ndarray | None, short: tuple[int, ...] = ()):
+    """Rows (key, n_words, seed hash, positions) of each text. Documents come with the bitmap, give only set
+    bits, and also give their runs of the ``short`` sizes; an item shorter than a seed gives the whole of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             data, offsets = text_bytes(batch.column("text"))
-            words, pointers, _, _ = word_hashes(data, offsets, NOT_ALNUM)
-            hashes = window_hashes(words, seed)
-            text_of = np.repeat(np.arange(len(batch)), np.diff(pointers))[: len(hashes)]
-            place = np.arange(len(hashes))
-            valid = place + seed <= pointers[1:][text_of]
+            words, pointers, _, _ = word_hashes(data, offsets, NOT_ALNUM, split_unspaced=True)
+            lengths = np.diff(pointers)
+            parts = [_runs_of(words, pointers, window_hashes(words, p.seed), p.seed)]
+            for size in range(p.shortest, p.seed) if bitmap is None else short:
+                text, value, at = _runs_of(words, pointers, _whole_hashes(words, size), size)
+                own = lengths[text] == size if bitmap is None else slice(None)
+                parts.append((text[own], value[own], at[own]))
+            text_of, hashes, place = (np.concatenate([part[i] for part in parts]) for i in range(3))
             if bitmap is not None:
-                bit = hashes >> np.uint64(64 - BITMAP_BITS)
-                valid &= (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            place = np.flatnonzero(valid)
+                kept = _keep_set(bitmap, hashes)
+                text_of, hashes, place = text_of[kept], hashes[kept], place[kept]
             if not len(place):
                 continue
-            text_of, hashes = text_of[place], hashes[place]
             order = np.lexsort((place, hashes, text_of))
             text_of, hashes, place = text_of[order], hashes[order], place[order]
             new = np.r_[True, (text_of[1:] != text_of[:-1]) | (hashes[1:] != hashes[:-1])]
@@ -66,7 +92,7 @@ def _seed_lists(seed: int, bitmap: np.ndarray | None):
                 [
                     batch.column("id").take(pa.array(own)),
                     pa.array(digest[own].view(np.int64)),
-                    pa.array(np.diff(pointers)[own]),
+                    pa.array(lengths[own]),
                     pa.array(hashes[first].view(np.int64)),
                     pa.ListArray.from_arrays(
                         pa.array(np.r_[first, len(place)].astype(np.int32)), pa.array(place - pointers[text_of])
@@ -173,6 +199,11 @@ def _tile_rows(p: Tiling, id_type: pa.DataType):
             out: dict[str, list] = {k: [] for k in ("doc_id", "item_id", "item_words", "matched_words", "tiles")}
             for row in batch.to_pylist():
                 shared, words = row["shared"], row["item_words"]
+                if words < p.seed:  # its one seed is the whole of it
+                    whole = {"doc_word": min(shared[0]["doc_places"]), "item_word": 0, "words": words}
+                    for name, value in zip(out, (row["doc_id"], row["item_id"], words, words, [whole]), strict=True):
+                        out[name].append(value)
+                    continue
                 hashes = np.array([s["seed"] for s in shared], np.int64).view(np.uint64)
                 item_places = [np.asarray(s["item_places"]) for s in shared]
                 item = _laid_out(hashes, item_places, words - p.seed + 1)
@@ -226,9 +257,11 @@ def contaminated_texts(documents: DataFrame, benchmark: DataFrame, p: Tiling = T
 
 def _contaminated(docs: DataFrame, id_type: str, benchmark: DataFrame, p: Tiling) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    item_seeds = stage(items.mapInArrow(_seed_lists(p.seed, None), SEED_ROWS.format("long")).distinct(), "bench-seeds")
+    item_seeds = stage(items.mapInArrow(_seed_lists(p, None), SEED_ROWS.format("long")).distinct(), "bench-seeds")
     bitmap = seed_bitmap(item_seeds)
-    doc_seeds = docs.mapInArrow(_seed_lists(p.seed, bitmap), SEED_ROWS.format(id_type))
+    short = item_seeds.where(F.col("n_words") < p.seed).select("n_words").distinct().collect()  # at most seed - 1 rows
+    sizes = tuple(sorted(r["n_words"] for r in short))
+    doc_seeds = docs.mapInArrow(_seed_lists(p, bitmap, sizes), SEED_ROWS.format(id_type))
     shared = doc_seeds.select(
         F.col("id").alias("doc_id"), F.col("digest").alias("doc_digest"), "seed", F.col("places").alias("doc_places")
     ).join(

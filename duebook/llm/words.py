@@ -95,9 +95,24 @@ def _piece_words(data: np.ndarray, breaks: np.ndarray, separators: np.ndarray):
     return mix(hashes + (ends - starts).astype(np.uint64)), starts, ends
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE):
+def unspaced(data: np.ndarray) -> np.ndarray:
+    """Starts and ends of the characters of scripts written without spaces, in UTF-8 bytes: kana and Han
+    (U+3040 to U+9FFF, and those from U+20000 on), Thai and Lao, Myanmar, Khmer."""
+    if len(data) < 3 or data.max() < 0xE0:
+        return np.zeros(0, np.int64)
+    lead, second = data[:-2], data[1:-1]
+    han = ((lead == 0xE3) & (second >= 0x81)) | ((lead >= 0xE4) & (lead <= 0xE9))
+    thai = (lead == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    khmer = (lead == 0xE1) & np.isin(second, [0x80, 0x81, 0x9E, 0x9F])
+    three = np.flatnonzero(han | thai | khmer)
+    four = np.flatnonzero((lead == 0xF0) & (second >= 0xA0) & (second <= 0xB3))
+    return np.unique(np.concatenate([three, three + 3, four, four + 4]))
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE, split_unspaced: bool = False):
     """Hashes of the A-Z lower-cased words of all texts, with ``pointers``: text i owns
-    ``hashes[pointers[i]:pointers[i + 1]]``. Also returns each word's start and end byte."""
+    ``hashes[pointers[i]:pointers[i + 1]]``. Also returns each word's start and end byte. With
+    ``split_unspaced`` each character of a script without spaces is a word."""
     parts, at, n = [], 0, len(data)
     while at < n:
         end = min(n, at + PIECE)
@@ -110,7 +125,10 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray =
                 break
             end = min(n, end + 4096)
         low, high = np.searchsorted(offsets, [at, end])
-        hashes, starts, ends = _piece_words(data[at:end], offsets[low:high] - at, separators)
+        breaks = offsets[low:high] - at
+        if split_unspaced:
+            breaks = np.concatenate([breaks, unspaced(data[at:end])])
+        hashes, starts, ends = _piece_words(data[at:end], breaks, separators)
         parts.append((hashes, starts + at, ends + at))
         at = end
     if not parts:
