@@ -3,12 +3,15 @@
 The digest of the text with its white space normalised meets the stored counts in a join; each
 distinct text that is not stored yet is encoded once, and its count is appended to the cache.
 
-Runs of space, tab, line feed and carriage return become one space before the digest: the
-tokenizer drops them, so that changes no count. The words between them are encoded by the library
-one by one and remembered within a task, since tokens never reach across white space.
-
-Defined results: a null text counts as empty (0 bytes, 0 tokens); equal texts share one entry;
-rows without an id are counted like any other; extra columns are ignored.
+Where the tokenizer drops white space, runs of space, tab, line feed and carriage return become one space
+before the digest, which changes no count, and the words between them are encoded by the library one by
+one and remembered within a task, since tokens never reach across white space. Whether it does is tried on
+pairs of words with each blank between, before and after them (``drops_blanks``). For any other tokenizer the
+text is digested and encoded as it is, whole.
+
+Defined results: a null text counts as empty (0 bytes, 0 tokens); equal texts share one entry, so repeated
+rows cost one count; a text of any length is counted whole; an empty table gives no rows; rows without an
+id are counted like any other; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -66,6 +69,33 @@ def count_texts(texts: list[str], tokenizer, known: dict[str, int]) -> list[int]
     return [sum(map(known.__getitem__, words)) for words in split]
 
 
+BLANKS = (" ", "\t", "\n", "\r", "  ", " \r\n\t ")
+PROBES = ("a", "The", "it's", "don't", "x1", "2024", "é", "e\u0301", "\u0301", "日本", "...", "(", "<|", "_", "▁", "##b", "\U0001f600")
+
+
+def drops_blanks(tokenizer) -> bool:
+    """Whether blanks give no tokens and change none of the words beside them, on all pairs of ``PROBES``."""
+
+    def counts(texts: list[str]) -> list[int]:
+        return [len(e) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    alone = dict(zip(PROBES, counts(list(PROBES)), strict=True))
+    texts = [(f"{b}{x}{b}{y}{b}", alone[x] + alone[y]) for x in PROBES for y in PROBES for b in BLANKS]
+    return not any(counts(list(BLANKS))) and counts([t for t, _ in texts]) == [n for _, n in texts]
+
+
+def _encode_whole(path: str):
+    """For tokenizers that see blanks: one text at a time, so that one text's tokens are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = load_tokenizer(path)
+        for batch in batches:
+            counts = [len(tokenizer.encode(t.as_py(), add_special_tokens=False)) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
+
+    return run
+
+
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, known = load_tokenizer(path), {"": 0}
@@ -88,27 +118,31 @@ def _encode(path: str):
 def token_counts(documents: DataFrame, tokenizer_path: str, cache_path: str, limit: int = 2048) -> DataFrame:
     """Per row of ``documents``: doc_id, n_bytes, n_tokens, over_limit.
 
-    ``cache_path`` names the Parquet cache (digest, n_tokens) in a folder all executors share; it is
-    made where it is missing. Entries of other tokenizer versions stay untouched, as their digests differ.
+    ``cache_path`` names a folder all executors share; it is made where it is missing. Each tokenizer version
+    has a Parquet table (digest, n_tokens) of its own below it, so that entries of others are not read.
     """
     spark = documents.sparkSession
     version = tokenizer_version(tokenizer_path)
+    cache_path = f"{cache_path.rstrip('/')}/version={hashlib.sha256(version.encode()).hexdigest()[:16]}"
+    by_words = drops_blanks(load_tokenizer(tokenizer_path))
+    plain = normalised("text") if by_words else F.coalesce(F.col("text").cast("string"), F.lit(""))
+    encode = (_encode if by_words else _encode_whole)(tokenizer_path)
     schema = "digest binary, n_tokens long"
     rows = stage(
         documents.select(
             "doc_id",
             F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
-            content_digest(normalised("text"), version).alias("digest"),
+            content_digest(plain, version).alias("digest"),
         ),
         "token-rows",
     )
     spark.createDataFrame([], schema).write.mode("append").parquet(cache_path)
     stored = spark.read.schema(schema).parquet(cache_path)
     misses = rows.select("digest").distinct().join(stored.select("digest").distinct(), "digest", "left_anti")
-    text = documents.select(normalised("text").alias("text"))
+    text = documents.select(plain.alias("text"))
     text = text.withColumn("digest", content_digest(F.col("text"), version))
     texts = text.groupBy("digest").agg(F.first("text").alias("text")).join(misses, "digest", "left_semi")
-    counted = texts.withColumn("n_chars", F.length("text").cast("long")).mapInArrow(_encode(tokenizer_path), schema)
+    counted = texts.withColumn("n_chars", F.length("text").cast("long")).mapInArrow(encode, schema)
     counted.write.mode("append").parquet(cache_path)
     # Two runs may have stored the same digest: their counts are equal.
     counts = spark.read.schema(schema).parquet(cache_path).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))

@@ -232,6 +232,23 @@ def test_words_one_by_one_give_the_text_s_count(text):
     assert tokencount.count_texts([normal], tokenizer, {"": 0}) == [len(tokenizer.encode(text, add_special_tokens=False).ids)]
 
 
+def test_a_tokenizer_that_keeps_blanks_gets_whole_texts(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = tokencount.load_tokenizer(path)
+    assert not tokencount.drops_blanks(tokenizer)
+    assert tokencount.drops_blanks(tokencount.load_tokenizer(public_tokenizers.path("word_bpe_49k.json")))
+    texts = ["Hello  world\n\tit's  2024", " a b ", "a b", "", None, "x" * 3000 + "  y", "a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    cache = f"{shared_root(spark)}/blank-cache"
+    for _ in range(2):  # counted, then from the cache
+        found = {r.doc_id: r.n_tokens for r in tokencount.token_counts(docs, path, cache).collect()}
+        assert found == wanted
+    other = public_tokenizers.path("word_bpe_49k.json")
+    assert tokencount.token_counts(docs, other, cache).count() == len(texts)
+    assert {r.n_tokens for r in tokencount.token_counts(docs, path, cache).where("doc_id = 1").collect()} == {wanted[1]}
+
+
 def test_pipeline_stages(spark, docs, empty, tmp_path):
     for name, columns in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         rows = [(1, 1, 0), (2, 1, 0), (15, 0, 1), (11, 1, 0), (3, None, None)] if name == "labels" else [(1, ITEM), (2, None)]

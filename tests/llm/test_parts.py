@@ -130,6 +130,38 @@ def test_reordered_and_partial_passages(spark):
     assert sorted((r.doc_id, r.matched_words) for r in found) == [(1, 40), (3, 40)]
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    rng = random.Random(6)
+    prose = [f"v{rng.randrange(10**6)}" for _ in range(60)]
+    han = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(24))
+    thai = "".join(chr(0x0E01 + rng.randrange(40)) for _ in range(30))
+    items = [(1, "Zebra quartz, violin. Ember"), (2, han), (3, thai), (4, "v0"), (5, "東京大学"), (6, "Ember, violin quartz")]
+    docs = [
+        (1, " ".join(prose + ["zebra QUARTZ violin ember"] + prose)),
+        (2, " ".join(prose[:9]) + " あの" + han[12:] + "この" + han[:12] + "です。"),  # reordered, no spaces
+        (3, " ".join(prose) + thai),
+        (4, "v0 zebra quartz violin " + " ".join(prose) + " ember"),  # not in a row
+        (5, "昨日東京大学へ行きました"),
+        (6, "東京の大学 v0 v0"),
+        (7, ""),
+        (8, "ember violin quartz"),  # as short as the item
+        (9, han[:6] + "へ" + han[16:20]),  # under half
+    ]
+    found = decontam.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    assert sorted((r.doc_id, r.item_id, r.matched_words) for r in found) == [(1, 1, 4), (2, 2, 24), (3, 3, 30), (5, 5, 4), (8, 6, 3)]
+    assert next(r.tiles for r in found if r.doc_id == 1)[0].asDict() == {"doc_word": 60, "item_word": 0, "words": 4}
+
+
+def test_characters_without_spaces_are_words():
+    texts = ["ab漢字cd", "漢", "かな カナ", "ภาษาไทย", "ខ្មែរ", "héé ß", "𠀀𠀁x", "", "한국어 문장"]
+    _, pointers, starts, ends = words.word_hashes(*words.text_bytes(pa.array(texts)), words.NOT_ALNUM, split_unspaced=True)
+    assert np.diff(pointers).tolist() == [4, 1, 4, 7, 5, 2, 3, 0, 2]
+    data = "".join(texts).encode()
+    assert [data[s:e].decode() for s, e in zip(starts[:4], ends[:4], strict=True)] == ["ab", "漢", "字", "cd"]
+
+
 @given(st.text(alphabet="a1.@+- ()9é_\n", max_size=80))
 @settings(max_examples=400, deadline=None)
 def test_base_spans_equal_the_plain_patterns(text):
@@ -211,6 +243,25 @@ def test_long_texts_of_rich_vocabulary_keep_their_language(spark):
     assert sorted((r.doc_id, r.lang_pred) for r in found.collect()) == sorted((i, lang) for i, _, lang in long)
 
 
+def test_seventy_languages_are_all_learnt(spark):
+    """Each with words of its own; one holds a third of the rows, and one row of it very many copies."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"l{k:02d}" for k in range(70)]
+    own = {n: ["".join(rng.choice(letters) for _ in range(rng.randrange(3, 8))) for _ in range(40)] for n in names}
+
+    def text(lang):
+        return " ".join(rng.choices(own[lang], k=40))
+
+    learnt = [(i * 70 + k, text(n), n) for i in range(12) for k, n in enumerate(names)]
+    learnt += [(10_000 + i, text("l00"), "l00") for i in range(200)] + [(None, "the same row", "l00")] * 200
+    held = [(k, text(n), n) for k, n in enumerate(names)]
+    schema = "doc_id long, text string, lang string"
+    found = langid.languages(spark.createDataFrame(held, schema), spark.createDataFrame(learnt, schema)).collect()
+    right = sum(r.lang_pred == names[r.doc_id] for r in found)
+    assert len(found) == 70 and right >= 67
+
+
 def test_kernel_values_are_products_of_profiles_over_all_pieces():
     rng = random.Random(4)
     column = pa.array(["ab" * 40, None, "".join(rng.choice("abcdefgh ") for _ in range(3 * langid.PIECE_BYTES + 5)), "c"])
