@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field, replace
 from datetime import date
 
+from pyspark.sql import DataFrame
+
+from duebook.sinks.writer import written_once
 from duebook.sources.registry import Registry
 
 
@@ -51,3 +54,16 @@ class Context:
     registry: Registry
     as_of: date
     rules: Rules = Rules()
+    steps: dict[str, DataFrame] | None = field(default=None, compare=False, repr=False)
+
+    def sharing(self) -> Context:
+        """The same, with tables that several reports or several places of one need written once."""
+        return replace(self, steps={})
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """``build()``: its plan, or where steps are shared the table it was written to at first use."""
+        if self.steps is None:
+            return build()
+        if name not in self.steps:
+            self.steps[name] = written_once(build())
+        return self.steps[name]

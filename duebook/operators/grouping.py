@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +14,14 @@ from duebook.functions.dates import clean_date
 from duebook.functions.packing import can_unpack, pack, unpack_last, widths
 from duebook.functions.predicates import starts_ci
 from duebook.functions.text import full_name
+from duebook.sinks.writer import written_once
+
+CELL_CHARS = 1_000_000
+
+
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    """Equal keys, NULL equal to NULL; the right side's have the prefix."""
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
 
 
 def latest_by(
@@ -71,24 +81,70 @@ def list_distinct(col: Column, sep: str = ", ") -> Column:
     return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), sep))
 
 
-def list_names(df: DataFrame, keys: Sequence[str], parts: Sequence[str], name: str) -> DataFrame:
+def _name_counts(df: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """(keys, __name, __times): equal names are counted map-side, so a key with very many equal rows sends
+    one row per task and name."""
+    people = df.select(*keys, full_name(*[F.col(p) for p in parts]).alias("__name"))
+    return people.groupBy(*keys, "__name").agg(F.count(F.lit(1)).alias("__times"))
+
+
+def list_names(
+    df: DataFrame, keys: Sequence[str], parts: Sequence[str], name: str, cell_chars: int = CELL_CHARS
+) -> DataFrame:
     """Full names per key, sorted and joined by comma; blank people are skipped.
 
-    Equal names are counted first and written out again in the list, so a key with very
-    many equal rows sends one row per task and name.
+    Equal names are counted first and written out again in the list. The lengths are added up before any
+    list is made: a key whose list would be longer than ``cell_chars`` raises, it is never cut
+    (``name_chunks`` gives such lists in parts).
     """
-    people = df.select(*keys, full_name(*[F.col(p) for p in parts]).alias("__name"))
-    counted = people.groupBy(*keys, "__name").agg(F.count(F.lit(1)).cast("int").alias("__times"))
-    listed = counted.select(
+    counted = _name_counts(df, keys, parts)
+    length = F.sum((F.length("__name") + 2) * F.col("__times")) - 2
+    large = counted.groupBy(*keys).agg(length.alias("__length")).where(F.col("__length") > cell_chars)
+    large = large.select(*[F.col(k).alias(f"__large_{k}") for k in keys], "__length")
+    checked = counted.join(large, _same(keys, "__large_"), "left")
+    told = F.concat(F.lit(f"a list of {name} has more than {cell_chars} characters: "), F.to_json(F.struct(*keys)))
+    # The test stands below the lists: a key beyond the size fails before its names meet.
+    checked = checked.where(F.col("__length").isNull() | F.raise_error(told).cast("boolean"))
+    listed = checked.select(
         *keys,
         "__name",
-        F.array_join(F.array_repeat("__name", F.col("__times")), ", ").alias("__copies"),
+        F.array_join(F.array_repeat("__name", F.col("__times").cast("int")), ", ").alias("__copies"),
     )
     entries = F.array_sort(F.collect_list(F.when(F.col("__name").isNotNull(), F.struct("__name", "__copies"))))
     text = F.array_join(entries["__copies"], ", ")
     return listed.groupBy(*keys).agg(F.when(F.size(entries) > 0, text).alias(name))
 
 
+def name_chunks(df: DataFrame, keys: Sequence[str], parts: Sequence[str], size: int = 10_000) -> DataFrame:
+    """(keys, chunk, names, counts): the distinct full names per key in order, ``size`` to a chunk, chunks
+    numbered from 0; blank people are skipped, and a key without names has no chunk.
+
+    One key may have any number of names. The counted names are split into ranges of (keys, name) and written,
+    which fixes the ranges; each range is numbered by itself, and a running sum over one row for each key and
+    range gives the number of the range's first name. No task and no cell holds all names of a key.
+    """
+    counted = _name_counts(df, keys, parts).where("__name is not null")
+    ranges = counted.repartitionByRange(*keys, "__name")
+    ranged = written_once(ranges.withColumn("__range", F.spark_partition_id()))
+    earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = (
+        ranged.groupBy(*keys, "__range")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+        .select(*[F.col(c).alias(f"__at_{c}") for c in [*keys, "__range"]], "__first")
+    )
+    own = Window.partitionBy(*keys, "__range").orderBy("__name")
+    numbered = ranged.withColumn("__place", F.row_number().over(own) - 1).join(
+        firsts, _same([*keys, "__range"], "__at_")
+    )
+    chunk = F.floor((F.col("__first") + F.col("__place")) / size).alias("chunk")
+    entries = F.array_sort(F.collect_list(F.struct("__name", "__times")))
+    chunks = numbered.groupBy(*keys, chunk).agg(entries.alias("__entries"))
+    return chunks.select(
+        *keys, "chunk", F.col("__entries.__name").alias("names"), F.col("__entries.__times").alias("counts")
+    )
+
+
 def milestone(
     history: DataFrame, keys: Sequence[str], status: str, moved_at: str, prefix: str, name: str
 ) -> DataFrame:

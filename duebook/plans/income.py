@@ -55,7 +55,7 @@ def with_names(ctx: Context, approved: DataFrame) -> DataFrame:
 
 def income_sales(ctx: Context, grain: str = "payment") -> DataFrame:
     r, rules = ctx.registry, ctx.rules
-    approved = approved_payments(ctx)
+    approved = ctx.once("approved_payments", lambda: approved_payments(ctx))
     # Flows and deposits are joined left from the month's payments: those of other months go before
     # they are grouped, so that the cost is the month's and not the history's. Only keys are needed there,
     # so they come from the payments before any lookup.

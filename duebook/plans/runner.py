@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from duebook.context import Context
@@ -51,8 +53,11 @@ def run_reports(
     names: Iterable[str] | None = None,
     reports: Mapping[str, Callable[[Context], DataFrame]] = REPORTS,
 ) -> Planned:
-    """Plan every report; one that cannot be planned is logged and listed as failed."""
-    planned = Planned()
+    """Plan every report; one that cannot be planned is logged and listed as failed.
+
+    What several reports start from, the month's approved payments, is written once for the batch.
+    """
+    planned, ctx = Planned(), ctx.sharing()
     for name in reports if names is None else names:
         try:
             planned.frames[name] = reports[name](ctx)
@@ -70,15 +75,31 @@ def write_reports(
     keywords: Keywords = REPORT_KEYWORDS,
     overrides: Mapping[str, str] | None = None,
     prefix: str = "reports",
+    concurrent: int = 1,
+    write: Callable[..., str | None] = write_report,
 ) -> BatchResult:
     """Type and write every report. Plans run here, so one may fail here too: the others
-    still run, and a failed one is never listed as written."""
+    still run, and a failed one is never listed as written.
+
+    ``concurrent`` reports run at a time, each in a scheduler pool of its own name, so that under fair
+    scheduling a small one does not wait for a large one. ``write`` may be ``manifest.publish``.
+    """
     result = BatchResult(failed=dict(planned.failed))
-    for name, frame in planned.frames.items():
+
+    def one(name: str, frame: DataFrame) -> str | None:
+        frame.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return write(normalise(frame, keywords, overrides), root, name, ctx.as_of, prefix=prefix)
+
+    with ThreadPoolExecutor(max_workers=concurrent) as pool:
+        jobs = {
+            name: pool.submit(inheritable_thread_target(frame.sparkSession)(one), name, frame)
+            for name, frame in planned.frames.items()
+        }
+    for name, job in jobs.items():
         try:
-            path = write_report(normalise(frame, keywords, overrides), root, name, ctx.as_of, prefix=prefix)
+            path = job.result()
         except Exception as error:
-            log.exception("report %s could not be written", name)
+            log.error("report %s could not be written", name, exc_info=error)
             result.failed[name] = str(error)
             continue
         if path is None:

@@ -30,6 +30,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def written_once(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: several uses cost one run of its plan, and what
+    was decided while writing stays as it is."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class _Folder:
     """A path on whatever file system holds the output."""
 

@@ -166,6 +166,28 @@ def test_latest_by_is_fixed_for_repeated_ids(spark):
     assert rows_of(grouping.latest_by(df, ["k"], "id", ["v"])) == [(1, 5, "b"), (2, None, "n")]
 
 
+def test_name_chunks_are_ordered_and_whole(spark):
+    people = [(k, f"n{i:04d}") for k in (1, None) for i in range(57)] * 2 + [(2, " "), (3, None), (1, "n0003"), (4, "x")]
+    df = spark.createDataFrame(people, "k int, f string").repartition(7)
+    rows = grouping.name_chunks(df, ["k"], ["f"], size=10).collect()
+    assert all(len(r.names) <= 10 for r in rows) and {r.k for r in rows} == {1, None, 4}
+    for key in (1, None):
+        own = sorted((r for r in rows if r.k == key), key=lambda r: r.chunk)
+        assert [r.chunk for r in own] == list(range(6)) and [len(r.names) for r in own] == [10] * 5 + [7]
+        assert [n for r in own for n in r.names] == [f"n{i:04d}" for i in range(57)]
+        times = {n: t for r in own for n, t in zip(r.names, r.counts, strict=True)}
+        assert times["n0003"] == (3 if key == 1 else 2) and times["n0004"] == 2
+    assert grouping.name_chunks(df.where("false"), ["k"], ["f"]).count() == 0
+
+
+def test_list_names_raises_beyond_its_cell(spark):
+    df = spark.createDataFrame([(1, "abc"), (1, "abc"), (None, "abcdefgh"), (2, None)], "k int, f string")
+    fitting = grouping.list_names(df, ["k"], ["f"], "names", cell_chars=8).collect()
+    assert {tuple(r) for r in fitting} == {(None, "abcdefgh"), (1, "abc, abc"), (2, None)} and len(fitting) == 3
+    with pytest.raises(Exception, match="more than 7 characters"):
+        grouping.list_names(df, ["k"], ["f"], "names", cell_chars=7).collect()
+
+
 def test_list_names_counts_repeats_and_skips_blanks(spark):
     df = spark.createDataFrame(
         [(1, "b", None), (1, "a", " x "), (1, "a", "x"), (1, " ", ""), (2, None, None)], "k int, f string, l string"

@@ -1,5 +1,6 @@
 """Report shapes, the batch runner, and per-system sources against one consolidated store."""
 
+import re
 from dataclasses import replace
 
 import pytest
@@ -9,6 +10,7 @@ from duebook.context import Context, Rules
 from duebook.plans.income import income_by_concept, income_sales
 from duebook.plans.runner import REPORTS, run_reports, write_reports
 from duebook.plans.statement import statement_sales
+from duebook.sinks.manifest import publish, read_report
 from duebook.sources.registry import Entity, Registry, System
 from workload.fixture import ENTITIES, RULES, SALE, GivenTables, context, files
 
@@ -144,6 +146,28 @@ def test_one_failing_report_does_not_stop_the_others(spark, small, tmp_path):
     assert spark.read.parquet(result.written["d"]).count() == 150
 
 
+def scans_of(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return len(re.findall(r"Relation \[l_orderkey", plan))
+
+
+def test_a_batch_reads_the_payments_of_the_month_once(spark, sf, tmp_path):
+    ctx = context(spark, sf)
+    income = {name: REPORTS[name] for name in ("income_sales", "income_by_concept")}
+    planned = run_reports(ctx, reports=income)
+    assert not planned.failed
+    for name, frame in planned.frames.items():
+        alone = REPORTS[name](ctx)
+        assert rows_of(frame) == rows_of(alone)
+        # The fixture takes payments and flows from one table: of its scans those of the payments go.
+        assert (scans_of(alone), scans_of(frame)) == (4, 1)
+    result = write_reports(ctx, planned, str(tmp_path), concurrent=2, write=publish)
+    assert not result.failed and set(result.written) == set(income)
+    for name in income:
+        again = read_report(spark, str(tmp_path), name, ctx.as_of)
+        assert again.count() == planned.frames[name].count()
+
+
 def test_default_rules_filter_nothing_or_raise(spark, small):
     with pytest.raises(ValueError, match="monthly_kind"):
         statement_sales(context(spark, small, Rules(milestone_prefix="eur", active_status="O")))

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from duebook.operators.typing_rules import normalise
+from duebook.sinks import manifest
 from duebook.sinks.display import render
+from duebook.sinks.manifest import current, entries, publish, read_report
 from duebook.sinks.writer import report_path, shared_folder, write_report
 
 AS_OF = date(2024, 3, 9)
@@ -41,6 +43,46 @@ def test_empty_or_failing_rerun_keeps_the_earlier_report(spark, tmp_path):
     assert [p.name for p in (tmp_path / "reports-2024-03-09").iterdir() if not p.name.startswith(".")] == ["x"]
 
 
+class Died(Exception):
+    pass
+
+
+def test_readers_find_a_whole_report_whatever_step_a_run_dies_at(spark, tmp_path, monkeypatch):
+    root, path = str(tmp_path), report_path(str(tmp_path), "x", AS_OF)
+
+    def seen():
+        return read_report(spark, root, "x", AS_OF).count() if current(spark, path) else None
+
+    assert seen() is None
+    with pytest.raises(FileNotFoundError):
+        read_report(spark, root, "x", AS_OF)
+    failing = spark.range(9).select(F.when(F.col("id") > 3, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("id"))
+    for before, rows in ((None, 5), (5, 3)):
+        with pytest.raises(Exception, match="boom"):  # while the rows are written
+            publish(failing, root, "x", AS_OF)
+        assert seen() == before
+        for step in ("current", "log"):  # after the rows, and after the manifest
+
+            def die(*_):
+                raise Died
+
+            with monkeypatch.context() as m, pytest.raises(Died):
+                m.setattr(manifest, "current", die) if step == "current" else m.setattr(manifest.log, "info", die)
+                publish(spark.range(rows), root, "x", AS_OF)
+            assert seen() == (before if step == "current" else rows)
+    assert publish(spark.range(0), root, "x", AS_OF) is None and seen() == 3
+    assert publish(spark.range(0), root, "x", AS_OF, skip_empty=False) and seen() == 0
+    assert read_report(spark, root, "x", AS_OF, version=1).count() == 5
+    assert [r.row_count for r in entries(spark, path).orderBy("version").collect()] == [5, 3, 0]
+
+
+def test_published_text_comes_back_with_its_columns(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "a,b"), (2, None)], "n long, t string")
+    publish(frame, str(tmp_path), "x", AS_OF, format="csv")
+    again = read_report(spark, str(tmp_path), "x", AS_OF)
+    assert again.schema == frame.schema and sorted(map(tuple, again.collect())) == [(1, "a,b"), (2, None)]
+
+
 def test_sorted_report_keeps_its_order_in_files(spark, tmp_path):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("n")).orderBy("n")
     path = write_report(df, str(tmp_path), "x", AS_OF)

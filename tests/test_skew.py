@@ -5,7 +5,7 @@ import pytest
 from compare import TABLES, connect, duck_rows, spark_rows
 from pyspark.sql import functions as F
 
-from duebook.operators import joins
+from duebook.operators import grouping, joins
 from workload.oracle import ORACLE
 from workload.queries import QUERIES
 
@@ -35,6 +35,7 @@ def skewed(small, tmp_path_factory):
         "agg_payment_rollup",
         "agg_concept_rollup",
         "agg_coowner_list",
+        "agg_coowner_chunks",
         "agg_distinct_ordered_list",
         "join_composite_key",
         "join_latest_row",
@@ -51,6 +52,23 @@ def test_results_on_skewed_tables(name, spark, skewed):
     assert spark_rows(QUERIES[name](spark, skewed)) == duck_rows(connect(skewed), ORACLE[name])
 
 
+def test_a_million_names_of_one_key(spark):
+    """One key has a million names of 1.2 million rows: chunks hold them all, no task a large part of them."""
+    rows = spark.range(0, 1_200_000, 1, 8).select(
+        F.when(F.col("id") % 6 == 5, F.col("id")).otherwise(-1).alias("k"),
+        F.concat(F.lit("p"), F.format_string("%07d", F.col("id"))).alias("f"),
+    )
+    chunks = grouping.name_chunks(rows, ["k"], ["f"], size=5_000)
+    hot = chunks.where("k = -1")
+    assert chunks.count() == 200_000 + 200
+    found = hot.select("chunk", F.size("names").alias("n"), F.col("names")[0].alias("low"), F.element_at("names", -1).alias("high"))
+    found = found.orderBy("chunk").collect()
+    assert [r.chunk for r in found] == list(range(200)) and {r.n for r in found} == {5_000}
+    assert all(a.high < b.low for a, b in zip(found, found[1:], strict=False))
+    with pytest.raises(Exception, match="more than 1000000 characters"):
+        grouping.list_names(rows, ["k"], ["f"], "names").where("k = -1").collect()
+
+
 @pytest.fixture
 def eager_splitting(spark):
     """Thresholds low enough for AQE to act on test-sized data, and no broadcast."""

@@ -426,6 +426,9 @@ ORACLE: dict[str, str] = {
     ),
     "report_shape": "select 'orders' as report, count(*) as row_count, cast(6 as int) as column_count from orders",
     "sink_dated_folder": "select * from orders",
+    "sink_manifest": """
+        select 'newest' as report, count(*) as row_count, cast(6 as int) as column_count from orders
+        union all select 'first', count(*), cast(6 as int) from orders where o_orderstatus = 'O'""",
     "sink_skip_empty": """
         select r.report, count(*) as row_count, cast(6 as int) as column_count
         from (values ('open', 'O'), ('unknown', 'X')) r(report, status)
@@ -589,6 +592,17 @@ ORACLE: dict[str, str] = {
             split_part(s_name, '#', 2) || ' K' || s_nationkey end as name
           from lineitem join supplier on l_suppkey = s_suppkey)
         group by l_orderkey""",
+    "agg_coowner_chunks": """
+        with counted as (
+          select l_orderkey, split_part(s_name, '#', 1) || ' S.-' || split_part(s_name, '#', 2) || ' K' || s_nationkey as name,
+            count(*) as n
+          from lineitem join supplier on l_suppkey = s_suppkey group by all
+        ), placed as (
+          select *, (row_number() over (partition by l_orderkey order by name) - 1) // 2 as chunk from counted
+        )
+        select l_orderkey as owner_key, chunk, string_agg(name, ', ' order by name) as names,
+          string_agg(n::varchar, ', ' order by name) as counts
+        from placed group by l_orderkey, chunk""",
     "agg_having": f"""
         select l_orderkey, cast(sum({PRICE}) as double) as total from lineitem
         group by l_orderkey having sum({PRICE}) > 300000""",

@@ -13,6 +13,7 @@ from duebook.operators import aging, grouping, joins, payments, profile, select,
 from duebook.plans import flat, fund_split, income, statement
 from duebook.plans.runner import REPORTS, run_reports
 from duebook.sinks.display import render
+from duebook.sinks import manifest
 from duebook.sinks.writer import shared_folder, write_report
 from duebook.sources.registry import Entity, System, read_source, read_table, tag_source, union_sources
 from workload.fixture import AS_OF, PRICE, RULES, SHARE, context, files, system, table
@@ -94,6 +95,20 @@ def _(spark, sf):
     )
 
 
+@query("sink_manifest")
+def _(spark, sf):
+    """What a reader finds by the manifest: the newest run with rows, and the first by its version."""
+    orders, root = table(spark, sf, "orders"), shared_folder(spark)
+    for frame in (orders.where("o_orderstatus = 'O'"), orders, orders.where("o_orderstatus = 'X'")):
+        manifest.publish(frame, root, "orders", AS_OF)
+    return union_sources(
+        [
+            profile.report_shape(manifest.read_report(spark, root, "orders", AS_OF, version=version), name)
+            for name, version in (("newest", None), ("first", 1))
+        ]
+    )
+
+
 @query("sink_display_text")
 def _(spark, sf):
     rows = table(spark, sf, "lineitem").select(
@@ -551,6 +566,16 @@ def _(spark, sf):
     return grouping.list_names(blanked, ["owner_key"], parts, "coowners")
 
 
+@query("agg_coowner_chunks")
+def _(spark, sf):
+    """The distinct people per order, two to a chunk, and how often each occurs."""
+    people = context(spark, sf).registry.read("coowner", "owner_key", "first_name", "last_name_1", "last_name_2")
+    chunks = grouping.name_chunks(people, ["owner_key"], ["first_name", "last_name_1", "last_name_2"], size=2)
+    return chunks.select(
+        "owner_key", "chunk", F.array_join("names", ", ").alias("names"), F.array_join("counts", ", ").alias("counts")
+    )
+
+
 @query("agg_having")
 def _(spark, sf):
     total = F.sum(dec("l_extendedprice"))
