@@ -132,7 +132,65 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_ngram_join": op13_ngram_join,
 }
 
+
+def _joined_sql(size: int, more: str) -> str:
+    """Components of texts whose sets of ``size``-word shingles are linked at 85 %, as SQL; empty sets stay alone."""
+    places = ", ".join(f"w[{i}:]" for i in range(1, size + 1))
+    words = ", ".join(f"z[{i}]" for i in range(1, size + 1))
+    return rf"""
+        with recursive words as (
+            select row_number() over () as row, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') as w from documents
+        ), sets as (
+            select row, doc_id, list_sort(list_distinct(
+                case when len(w) = 0 then [] when len(w) < {size} then [array_to_string(w, ' ')]
+                     else list_transform(list_zip({places}, true), lambda z: concat_ws(' ', {words})) end)) as s
+            from words
+        ), keyed as (
+            select row, doc_id, len(s) as n, s, case when len(s) = 0 then row::varchar else md5(array_to_string(s, chr(10))) end as key
+            from sets
+        ), classes as (
+            select row_number() over () as class, key, any_value(s) as s, any_value(n) as n, min(doc_id) as id
+            from keyed group by key
+        ), grams as (
+            select class, n, unnest(s) as gram from classes
+        ), linked as (
+            select a.class as x, b.class as y from grams a join grams b on a.gram = b.gram and a.class < b.class
+            group by a.class, b.class, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), both_ways as (
+            select x, y from linked union all select y, x from linked
+        ), reach as (
+            select class, class as seen from classes
+            union
+            select r.class, e.y from reach r join both_ways e on e.x = r.seen
+        ), named as (
+            select c.key, min(o.id) as component_id
+            from classes c join reach r on r.class = c.class join classes o on o.class = r.seen group by c.key
+        )
+        select k.doc_id, k.n::bigint as n_shingles, c.component_id{more}
+        from keyed k join named c on c.key = k.key
+    """
+
+
 ORACLE = {
+    "op3_near_dedup": _joined_sql(5, ", k.doc_id is not distinct from c.component_id as kept"),
+    "op4_topk": """
+        with vectors as (
+            select row_number() over () as row, vec_id,
+                   list_transform(embedding, lambda x: floor(64 * x::double)) as v
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), scores as (
+            select q.row, q.vec_id as query_id, d.vec_id, list_inner_product(q.v, d.v)::bigint as score
+            from vectors q join vectors d on d.row <> q.row where q.vec_id % 20 = 0
+        ), ranked as (
+            select *, row_number() over (partition by row order by score desc, vec_id) as rank from scores
+        )
+        select query_id, rank::int as rank, vec_id, score from ranked where rank <= 20
+    """,
+    "op13_ngram_join": _joined_sql(4, ""),
     "op8_mixing": r"""
         with docs as (
             select doc_id, source,

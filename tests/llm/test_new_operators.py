@@ -63,7 +63,7 @@ def tuples(df):
     return [tuple(r) for r in df.collect()]
 
 
-@pytest.mark.parametrize("name", ["op11_prefix_trie", "op12_lexical_search"])
+@pytest.mark.parametrize("name", ["op3_near_dedup", "op4_topk", "op11_prefix_trie", "op12_lexical_search", "op13_ngram_join"])
 def test_query_equals_sql(spark, sf, name):
     assert spark_rows(QUERIES[name](spark, sf)) == duck_rows(connect(sf), ORACLE[name])
 
