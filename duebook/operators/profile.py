@@ -13,7 +13,7 @@ def report_shape(df: DataFrame, report: str) -> DataFrame:
     )
 
 
-def _shown(col: Column, dtype: T.DataType) -> Column:
+def shown(col: Column, dtype: T.DataType) -> Column:
     """The text whose length counts: NULL for a NULL, empty or zero value."""
     if isinstance(dtype, T.DateType):
         return col.cast("timestamp_ntz").cast("string")
@@ -26,13 +26,18 @@ def _shown(col: Column, dtype: T.DataType) -> Column:
     return F.nullif(col.cast("string"), F.lit(""))
 
 
+def width_of(name: str, longest: int | None) -> float:
+    """Display width of a column whose longest shown value has so many characters."""
+    return min(50.0, max(8.0, (max(longest or 0, len(name)) + 2) * 1.1))
+
+
 def width_profile(df: DataFrame) -> DataFrame:
     """Display width per column, header included: (longest + 2) x 1.1 within 8 and 50.
 
     One aggregation over all columns, then one row per column.
     """
     longest = df.agg(
-        *[F.max(F.length(_shown(df[f"`{f.name}`"], f.dataType))).alias(f.name) for f in df.schema.fields]
+        *[F.max(F.length(shown(df[f"`{f.name}`"], f.dataType))).alias(f.name) for f in df.schema.fields]
     )
     entries = [
         F.struct(

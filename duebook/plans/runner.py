@@ -11,11 +11,13 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from duebook.context import Context
-from duebook.operators.typing_rules import REPORT_KEYWORDS, Keywords, normalise
+from duebook.operators.typing_rules import REPORT_KEYWORDS, Keywords
 from duebook.plans.flat import income_flat, overdue_portfolio, statement_flat
 from duebook.plans.fund_split import income_fund_split
 from duebook.plans.income import income_by_concept, income_sales
 from duebook.plans.statement import statement_sales
+from duebook.sinks.display import render
+from duebook.sinks.metrics import ReportMetrics, watched
 from duebook.sinks.writer import write_report
 
 log = logging.getLogger(__name__)
@@ -41,11 +43,12 @@ class Planned:
 
 @dataclass
 class BatchResult:
-    """Every report of the batch is in exactly one of the three."""
+    """Every report of the batch is in exactly one of the first three; ``metrics`` holds those that ran."""
 
     written: dict[str, str] = field(default_factory=dict)
     empty: list[str] = field(default_factory=list)
     failed: dict[str, str] = field(default_factory=dict)
+    metrics: dict[str, ReportMetrics] = field(default_factory=dict)
 
 
 def run_reports(
@@ -76,6 +79,8 @@ def write_reports(
     overrides: Mapping[str, str] | None = None,
     prefix: str = "reports",
     concurrent: int = 1,
+    format: str = "parquet",
+    display: bool = False,
     write: Callable[..., str | None] = write_report,
 ) -> BatchResult:
     """Type and write every report. Plans run here, so one may fail here too: the others
@@ -83,12 +88,17 @@ def write_reports(
 
     ``concurrent`` reports run at a time, each in a scheduler pool of its own name, so that under fair
     scheduling a small one does not wait for a large one. ``write`` may be ``manifest.publish``.
+    ``display`` writes the text a reader sees instead of typed values, for ``format="csv"`` say. What typing
+    could not keep is counted by the write itself, returned in ``metrics`` and logged.
     """
     result = BatchResult(failed=dict(planned.failed))
 
-    def one(name: str, frame: DataFrame) -> str | None:
+    def one(name: str, frame: DataFrame) -> tuple[str | None, ReportMetrics]:
         frame.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", name)
-        return write(normalise(frame, keywords, overrides), root, name, ctx.as_of, prefix=prefix)
+        typed, metrics = watched(frame, keywords, overrides)
+        shown = render(typed) if display else typed
+        path = write(shown, root, name, ctx.as_of, prefix=prefix, format=format)
+        return path, metrics()
 
     with ThreadPoolExecutor(max_workers=concurrent) as pool:
         jobs = {
@@ -97,11 +107,15 @@ def write_reports(
         }
     for name, job in jobs.items():
         try:
-            path = job.result()
+            path, result.metrics[name] = job.result()
         except Exception as error:
             log.error("report %s could not be written", name, exc_info=error)
             result.failed[name] = str(error)
             continue
+        for kind in ("rejects", "unread"):
+            lost = {column: n for column, n in getattr(result.metrics[name], kind).items() if n}
+            if lost:
+                log.warning("report %s: values that typing could not keep (%s): %s", name, kind, lost)
         if path is None:
             result.empty.append(name)
         else:

@@ -4,9 +4,12 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from duebook.operators.typing_rules import normalise
+from duebook.operators.profile import width_profile
+from duebook.operators.typing_rules import integer_rejects, normalise
+from duebook.plans.runner import Planned, write_reports
 from duebook.sinks import manifest
 from duebook.sinks.display import render
+from duebook.sinks.metrics import metrics_table
 from duebook.sinks.manifest import current, entries, publish, read_report
 from duebook.sinks.writer import report_path, shared_folder, write_report
 
@@ -104,6 +107,34 @@ def test_render_by_category(spark):
     ]
 
 
+def test_the_write_pass_counts_what_typing_could_not_keep(spark, tmp_path):
+    rows = [("2024-01-02", "-1234.5", "7.5", 2, " a "), ("0000-00-00", "abc", "x", 3, "bb"), (None, "", "3", None, None)]
+    rows.append(("gone", "0", "99999999999999999999", 4, "c" * 90))
+    schema = "paid_on string, total string, sale_id string, own_id int, name string"
+    frame = spark.createDataFrame(rows, schema).orderBy("sale_id")
+    nothing = frame.where("total = 'none'")
+    failing = frame.withColumn("sale_id", F.raise_error(F.lit("boom")))
+    batch = Planned({"x": frame, "nothing": nothing, "failing": failing})
+    words = {"date": ["_on"], "money": ["tot"], "integer": ["_id"], "text": ["name"]}
+    ctx = SimpleNamespace(as_of=AS_OF)
+    done = write_reports(ctx, batch, str(tmp_path), keywords=words, format="csv", display=True)
+    assert list(done.written) == ["x"] and done.empty == ["nothing"] and list(done.failed) == ["failing"]
+    assert set(done.metrics) == {"x", "nothing"} and done.metrics["nothing"].rows == 0
+    seen = done.metrics["x"]
+    assert seen.rows == 4
+    assert seen.rejects == {"sale_id": integer_rejects(frame, words).first()[0]} == {"sale_id": 2}
+    assert seen.unread == {"paid_on": 1, "total": 1, "sale_id": 1}
+    assert seen.partial == {"total": "tot"}
+    assert seen.widths == {r[0]: r[1] for r in width_profile(normalise(frame, words)).collect()}
+    shown = spark.read.option("header", True).csv(done.written["x"]).where("total is not null").collect()
+    assert sorted((r.total, r.sale_id) for r in shown) == [("$0.00", "0"), ("-$1,234.50", "0")]
+    # As values and by the manifest the counts are the same.
+    typed = write_reports(ctx, batch, str(tmp_path), keywords=words, prefix="typed", write=publish)
+    assert typed.metrics == done.metrics
+    table = metrics_table(spark, typed.metrics)
+    assert table.count() == 10 and table.where("rejects > 0").first()["column"] == "sale_id"
+
+
 def test_csv_export_of_display_text(spark, tmp_path):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     path = write_report(render(df), str(tmp_path), "x", AS_OF, format="csv")

@@ -446,6 +446,23 @@ ORACLE: dict[str, str] = {
           {cents("unapplied_balance")} as unapplied_balance, detail_id, {cents("fee_amount")} as fee_amount,
           {cents("reserve_amount")} as reserve_amount, {cents("fund_amount")} as fund_amount
         from ({INCOME_FLAT})""",
+    "sink_observed_metrics": """
+        select 'orders' as report, (select count(*) from orders) as row_count, "column",
+          least(50.0::double, greatest(8.0::double,
+            (greatest(coalesce(longest, 0), length("column")) + 2) * 1.1::double)) as width,
+          rejects, null::bigint as unread,
+          case "column" when 'o_totalprice' then 'price' when 'o_orderpriority' then 'riority' end as partial
+        from (
+          select 'o_orderkey' as "column", max(length(cast(nullif(o_orderkey, 0) as varchar))) as longest,
+            null::bigint as rejects from orders
+          union all select 'o_custkey', max(length(cast(nullif(o_custkey, 0) as varchar))), null from orders
+          union all select 'o_orderstatus', max(length(o_orderstatus)), null from orders
+          union all select 'o_totalprice',
+            max(length(cast(case when o_totalprice = floor(o_totalprice) then cast(nullif(o_totalprice, 0) as bigint) end
+              as varchar))),
+            count(*) filter (where o_totalprice <> floor(o_totalprice)) from orders
+          union all select 'o_orderdate', max(length(cast(o_orderdate as varchar))), null from orders
+          union all select 'o_orderpriority', max(length(o_orderpriority)), null from orders)""",
     "proj_rename": "select o_orderkey as sale_id, o_custkey as client_id, o_orderstatus as status from orders",
     "proj_cast_double": "select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) as double) as price from orders",
     "proj_source_tag": "select o_orderkey, 'north' as source from orders",

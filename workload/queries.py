@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from duebook.functions import dates, keys, money, predicates, text
 from duebook.operators import aging, grouping, joins, payments, profile, select, typing_rules
 from duebook.plans import flat, fund_split, income, statement
-from duebook.plans.runner import REPORTS, run_reports
+from duebook.plans.runner import REPORTS, Planned, run_reports, write_reports
 from duebook.sinks.display import render
 from duebook.sinks import manifest
+from duebook.sinks.metrics import metrics_table
 from duebook.sinks.writer import shared_folder, write_report
 from duebook.sources.registry import Entity, System, read_source, read_table, tag_source, union_sources
 from workload.fixture import AS_OF, PRICE, RULES, SHARE, context, files, system, table
@@ -109,6 +110,15 @@ def _(spark, sf):
     )
 
 
+@query("sink_observed_metrics")
+def _(spark, sf):
+    """What the write of the orders saw: widths, and the prices that an integer column cannot keep."""
+    batch = Planned({"orders": table(spark, sf, "orders")})
+    words = {"money": [], "integer": ["price"], "text": ["riority"]}
+    done = write_reports(context(spark, sf), batch, shared_folder(spark), keywords=words, display=True)
+    return metrics_table(spark, done.metrics)
+
+
 @query("sink_display_text")
 def _(spark, sf):
     rows = table(spark, sf, "lineitem").select(
