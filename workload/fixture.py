@@ -7,7 +7,7 @@ all systems here (one consolidated store), and a sale's system is its order prio
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +67,11 @@ def _statement(t: Callable[[str], DataFrame]) -> DataFrame:
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey)
 
 
+def _sale_lines(t: Callable[[str], DataFrame]) -> DataFrame:
+    lineitem, orders = t("lineitem"), t("orders").select("o_orderkey", "o_orderpriority")
+    return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+
+
 def _coowner(t: Callable[[str], DataFrame]) -> DataFrame:
     lineitem, supplier = t("lineitem"), t("supplier")
     return lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
@@ -77,6 +82,7 @@ VIEWS = {
     "seller_view": _seller,
     "statement_view": _statement,
     "coowner_view": _coowner,
+    "sale_lines_view": _sale_lines,
 }
 
 
@@ -376,3 +382,28 @@ def context(spark: SparkSession, sf_dir: str, rules: Rules = RULES, as_of: date
         spark, [lake], {"brand": (lake.store, BRAND), "seller": (lake.store, SELLER)}, id_scope="global"
     )
     return Context(registry, as_of, rules)
+
+
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+def systems(sf_dir: str) -> list[System]:
+    """The same tables as five systems of one shape: each has its own sales, with their instalments and payments."""
+    lake, found = system(sf_dir), []
+    sale = {k: v for k, v in SALE.items() if k != "source"}
+    for priority in PRIORITIES:
+        own = f"o_orderpriority = '{priority}'"
+        entities = {
+            "sale": Entity("orders", sale, own),
+            "instalment": Entity("sale_lines_view", INSTALMENT, own),
+            "payment": Entity("sale_lines_view", PAYMENT, own),
+            "payment_flow": Entity("sale_lines_view", PAYMENT_FLOW, own),
+        }
+        found.append(System(priority, lake.store, {**lake.entities, **entities}))
+    return found
+
+
+def systems_context(spark: SparkSession, sf_dir: str) -> Context:
+    """As ``context``, with ids that are unique within a system only."""
+    ctx = context(spark, sf_dir)
+    return replace(ctx, registry=Registry(spark, systems(sf_dir), ctx.registry.dimensions, id_scope="system"))

@@ -733,4 +733,7 @@ ORACLE: dict[str, str] = {
     "report_statement_coowners": statement_sales("coowner"),
     "report_income_sales": income_sales("payment"),
     "report_income_by_concept": income_sales("concept"),
+    "report_statement_sales_systems": statement_sales(),
+    "report_income_sales_systems": income_sales("payment"),
+    "report_income_by_concept_systems": income_sales("concept"),
 }

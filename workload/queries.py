@@ -16,8 +16,9 @@ from duebook.sinks.display import render
 from duebook.sinks import manifest
 from duebook.sinks.metrics import metrics_table
 from duebook.sinks.writer import shared_folder, write_report
+from duebook.sources.bucketed import bucketed
 from duebook.sources.registry import Entity, System, read_source, read_table, tag_source, union_sources
-from workload.fixture import AS_OF, PRICE, RULES, SHARE, context, files, system, table
+from workload.fixture import AS_OF, PRICE, RULES, SHARE, context, files, system, systems_context, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -944,4 +945,28 @@ def _(spark, sf):
     return income.income_by_concept(context(spark, sf))
 
 
+# Several systems: the tables that reports group by sale are written bucketed, as many parts as a shuffle has.
+
+
+def _bucketed(spark, sf, *entities: str):
+    ctx = systems_context(spark, sf)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return replace(ctx, registry=bucketed(ctx.registry, dict.fromkeys(entities, "sale_id"), buckets))
+
+
+@query("report_statement_sales_systems")
+def _(spark, sf):
+    return statement.statement_sales(_bucketed(spark, sf, "instalment", "payment"))
+
+
+@query("report_income_sales_systems")
+def _(spark, sf):
+    return income.income_sales(_bucketed(spark, sf, "payment", "payment_flow"))
+
+
+@query("report_income_by_concept_systems")
+def _(spark, sf):
+    return income.income_by_concept(_bucketed(spark, sf, "payment", "payment_flow"))
+
+
 assert len(REPORTS) == 7
