@@ -8,7 +8,8 @@ they fit each other.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from duebook.operators.joins import HEAVY_ROWS, heavy_keys
+from duebook.session import SHUFFLE_PARTS
 from duebook.sinks.writer import shared_folder
 from duebook.sources.registry import Entity, Registry, System
 
@@ -34,6 +36,17 @@ class WrittenStore:
         return spark.read.schema(schema).parquet(path)
 
 
+@contextmanager
+def shuffling_in(spark: SparkSession, parts: int) -> Iterator[None]:
+    """Jobs started inside shuffle in ``parts`` parts, or in the session's number where that is larger."""
+    before = spark.conf.get(SHUFFLE_PARTS)
+    spark.conf.set(SHUFFLE_PARTS, str(max(parts, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTS, before)
+
+
 def bucketed(
     registry: Registry,
     keys: Mapping[str, str],
@@ -46,8 +59,10 @@ def bucketed(
 
     A bucket is read by one task, so an entity with a key of more than ``over`` rows is read as plain files,
     whose groupings combine before they shuffle as ever. The keys are counted on the written table, where
-    that needs no shuffle. While writing, oversized buckets are split between tasks. Reads through the new
-    registry give the rows of the old one; take as many buckets as a report has shuffle partitions.
+    that needs no shuffle. While writing, oversized buckets are split between tasks, and the joins that
+    make an entity shuffle in as many parts as there are buckets, whatever the session has. Reads through the new
+    registry give the rows of the old one; take as many buckets as a report has shuffle partitions, and more as
+    the entities grow (``duebook.session.shuffle_partitions``), or the share of one task grows with them.
     The tables are external, named by a run of their own and stay until their owner drops them.
     """
     spark, run = registry.spark, uuid.uuid4().hex
@@ -60,7 +75,8 @@ def bucketed(
         by = registry.keys(id_column)
         name, path = f"{database}.{entity}_{run}", f"{root}/{entity}"
         writer = rows.hint("rebalance", buckets, *[F.col(k) for k in by]).write.format("parquet")
-        writer.bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(name)
+        with shuffling_in(spark, buckets):
+            writer.bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(name)
         if heavy_keys(spark.table(name), by, over).isEmpty():
             names[entity] = name
         else:

@@ -1,7 +1,9 @@
 """Entities written in buckets: same rows, no shuffle by the key, plain files where a key is heavy."""
 
 from collections import Counter
-from dataclasses import replace
+from dataclasses import dataclass, replace
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from duebook.plans.statement import latest_payments
 from duebook.sources.bucketed import bucketed
 from duebook.sources.registry import Entity, Registry, System
 from duebook.sources.stores import FileStore
+from duebook.session import SHUFFLE_PARTS, shuffle_partitions
+from workload import queries
 from workload.fixture import AS_OF, systems_context
 
 INSTALMENT = ("sale_id", "kind", "number", "due_on", "billed", "balance")
@@ -67,3 +71,56 @@ def test_an_entity_with_a_heavy_key_is_read_as_plain_files(spark, tmp_path):
         # Map-side combination before a shuffle is left to do, as a bucket would be one task.
         top = latest_by(written.read("payment", "sale_id", "payment_id"), written.keys("sale_id"), "payment_id", ["payment_id"])
         assert shuffles(top) == 1
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, before)
+
+
+@dataclass(frozen=True)
+class Joined:
+    """Payments that a join must put together first; each row names the part of the join it came from."""
+
+    def scan(self, spark, table):
+        pays = spark.range(2000).select((F.col("id") % 500).alias("sale"), F.col("id").alias("pay"))
+        return pays.hint("merge").join(spark.range(500).withColumnRenamed("id", "sale"), "sale")
+
+
+def test_joins_while_writing_shuffle_in_as_many_parts_as_there_are_buckets(spark, uncoalesced):
+    entity = Entity("pays", {"sale_id": "sale", "payment_id": "pay", "part": "spark_partition_id()"})
+    plain = Registry(spark, [System("a", Joined(), {"payment": entity})], {})
+    before = spark.conf.get(SHUFFLE_PARTS)
+    written = bucketed(plain, {"payment": "sale_id"}, 40)
+    assert spark.conf.get(SHUFFLE_PARTS) == before
+    assert written.read("payment", "part").distinct().count() > 30
+    columns = ("sale_id", "payment_id")
+    assert counted(written.read("payment", *columns)) == counted(plain.read("payment", *columns))
+    # A session with more parts than buckets keeps them.
+    few = bucketed(plain, {"payment": "sale_id"}, 2)
+    assert few.read("payment", "part").distinct().count() == int(before)
+
+
+def test_buckets_grow_with_the_table(spark, tmp_path, monkeypatch):
+    orders = "o_orderkey bigint, o_custkey bigint, o_orderpriority string"
+    lines = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    lines += " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    lines += " l_shipdate timestamp_ntz"
+    urgent = [(i, 1, "1-URGENT") for i in range(100)]
+    spark.createDataFrame(urgent, orders).write.parquet(f"{tmp_path}/orders.parquet")
+    rows = [(i % 100, 1, 1, i, 1.0, 2.0, 0.0, 0.0, "N", "O", None) for i in range(600)]
+    spark.createDataFrame(rows, lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for part_rows, expected in ((600, 8), (20, 30)):
+        monkeypatch.setattr(queries, "PART_BYTES", queries.LINE_BYTES * part_rows)
+        written = queries._bucketed(spark, str(tmp_path), "payment").registry
+        name = written.systems[-1].store.names["payment"]
+        described = spark.sql(f"describe extended {name}").where("col_name = 'Num Buckets'")
+        assert int(described.first()["data_type"]) == expected
+        assert written.read("payment", "payment_id").count() == 600
+    # As the checked queries have it: half a million rows to a part.
+    monkeypatch.undo()
+    assert shuffle_partitions(queries.LINE_BYTES * 36_000_000, queries.PART_BYTES) == 69

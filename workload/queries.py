@@ -12,6 +12,7 @@ from duebook.functions import dates, keys, money, predicates, text
 from duebook.operators import aging, grouping, joins, payments, profile, select, typing_rules
 from duebook.plans import flat, fund_split, income, statement
 from duebook.plans.runner import REPORTS, Planned, run_reports, write_reports
+from duebook.session import SHUFFLE_PARTS, shuffle_partitions
 from duebook.sinks.display import render
 from duebook.sinks import manifest
 from duebook.sinks.metrics import metrics_table
@@ -945,12 +946,17 @@ def _(spark, sf):
     return income.income_by_concept(context(spark, sf))
 
 
-# Several systems: the tables that reports group by sale are written bucketed, as many parts as a shuffle has.
+# Several systems: the tables that reports group by sale are written bucketed, as many parts as a shuffle has,
+# and more where they would be large: each of these entities has a row for each of the table's, counted in its footers.
+
+LINE_BYTES = 64
+PART_BYTES = 32 << 20
 
 
 def _bucketed(spark, sf, *entities: str):
     ctx = systems_context(spark, sf)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    expected = LINE_BYTES * table(spark, sf, "lineitem").count()
+    buckets = shuffle_partitions(expected, PART_BYTES, floor=int(spark.conf.get(SHUFFLE_PARTS)))
     return replace(ctx, registry=bucketed(ctx.registry, dict.fromkeys(entities, "sale_id"), buckets))
 
 
