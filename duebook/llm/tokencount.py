@@ -5,7 +5,8 @@ distinct text that is not stored yet is encoded once, and its count is appended
 
 Where the tokenizer drops white space, runs of space, tab, line feed and carriage return become one space
 before the digest, which changes no count, and the words between them are encoded by the library one by
-one and remembered within a task, since tokens never reach across white space. Whether it does is tried on
+one and remembered, since tokens never reach across white space. A Python worker keeps the tokenizer and its
+words from task to task, as most words of a task have occurred in earlier ones. Whether it does is tried on
 pairs of words with each blank between, before and after them (``drops_blanks``). For any other tokenizer the
 text is digested and encoded as it is, whole.
 
@@ -19,6 +20,8 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -28,7 +31,9 @@ from pyspark.sql import functions as F
 
 from .staging import stage
 
-REMEMBERED_WORDS = 150_000
+# About 100 bytes each in each Python worker; longer words are counted and forgotten.
+REMEMBERED_WORDS = 1_000_000
+REMEMBERED_CHARS = 64
 
 
 def tokenizer_version(path: str) -> str:
@@ -58,15 +63,28 @@ def load_tokenizer(path: str):
 def count_texts(texts: list[str], tokenizer, known: dict[str, int]) -> list[int]:
     """Tokens of each text; ``known`` remembers words and is emptied when it is full."""
     split = [t.split(" ") for t in texts]
-    if len(known) > REMEMBERED_WORDS:
+    fresh = list(set(chain.from_iterable(split)).difference(known))
+    if len(known) + len(fresh) > REMEMBERED_WORDS:
         known.clear()
         known[""] = 0
-    fresh = list({w for words in split for w in words if w not in known})
+        fresh = list(set(chain.from_iterable(split)) - {""})
     for at in range(0, len(fresh), 4_000):
         part = fresh[at : at + 4_000]
         encoded = tokenizer.encode_batch_fast(part, add_special_tokens=False)
         known.update(zip(part, map(len, encoded), strict=True))
-    return [sum(map(known.__getitem__, words)) for words in split]
+    counts = [sum(map(known.__getitem__, words)) for words in split]
+    for word in fresh:
+        if len(word) > REMEMBERED_CHARS:
+            del known[word]
+    return counts
+
+
+@lru_cache(maxsize=1)
+def worker_state(path: str, version: str) -> tuple:
+    """The tokenizer and the words counted with it so far: one of each in a Python worker, for all its tasks.
+
+    ``version`` tells a file from another that took its place."""
+    return load_tokenizer(path), {"": 0}
 
 
 BLANKS = (" ", "\t", "\n", "\r", "  ", " \r\n\t ")
@@ -84,11 +102,11 @@ def drops_blanks(tokenizer) -> bool:
     return not any(counts(list(BLANKS))) and counts([t for t, _ in texts]) == [n for _, n in texts]
 
 
-def _encode_whole(path: str):
+def _encode_whole(path: str, version: str):
     """For tokenizers that see blanks: one text at a time, so that one text's tokens are held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load_tokenizer(path)
+        tokenizer, _ = worker_state(path, version)
         for batch in batches:
             counts = [len(tokenizer.encode(t.as_py(), add_special_tokens=False)) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
@@ -96,9 +114,9 @@ def _encode_whole(path: str):
     return run
 
 
-def _encode(path: str):
+def _encode(path: str, version: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, known = load_tokenizer(path), {"": 0}
+        tokenizer, known = worker_state(path, version)
         for batch in batches:
             sizes = np.cumsum(batch.column("n_chars").to_numpy())
             at = 0
@@ -126,7 +144,7 @@ def token_counts(documents: DataFrame, tokenizer_path: str, cache_path: str, lim
     cache_path = f"{cache_path.rstrip('/')}/version={hashlib.sha256(version.encode()).hexdigest()[:16]}"
     by_words = drops_blanks(load_tokenizer(tokenizer_path))
     plain = normalised("text") if by_words else F.coalesce(F.col("text").cast("string"), F.lit(""))
-    encode = (_encode if by_words else _encode_whole)(tokenizer_path)
+    encode = (_encode if by_words else _encode_whole)(tokenizer_path, version)
     schema = "digest binary, n_tokens long"
     rows = stage(
         documents.select(
