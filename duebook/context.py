@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
+from duebook.session import shuffling_in
 from duebook.sinks.writer import written_once
 from duebook.sources.registry import Registry
 
@@ -55,6 +56,7 @@ class Context:
     as_of: date
     rules: Rules = Rules()
     steps: dict[str, DataFrame] | None = field(default=None, compare=False, repr=False)
+    parts: int | None = None
 
     def sharing(self) -> Context:
         """The same, with tables that several reports or several places of one need written once."""
@@ -67,3 +69,11 @@ class Context:
         if name not in self.steps:
             self.steps[name] = written_once(build())
         return self.steps[name]
+
+    def at_size(self, df: DataFrame) -> DataFrame:
+        """``df``: its plan, or where ``parts`` is set the table it was written to by jobs that shuffle in as many
+        parts. The session's number holds for whatever runs later, however large the tables have become."""
+        if self.parts is None:
+            return df
+        with shuffling_in(self.registry.spark, self.parts):
+            return written_once(df)

@@ -91,10 +91,17 @@ def conform(
     take: Mapping[str, str],
     *,
     fail_on_dup: bool = False,
+    distinct: bool = False,
 ) -> DataFrame:
-    """Attributes by a text key; NULL where unmatched, repeated rows where the key is not unique."""
+    """Attributes by a text key; NULL where unmatched, repeated rows where the key is not unique.
+
+    ``distinct``: rows of the dimension that are equal in the key and the attributes taken join as one, for a
+    report that is deduped anyway: n of them would repeat each of its rows n times until then.
+    """
     if fail_on_dup:
         dim = unique_by(dim, on[1])
+    elif distinct:
+        dim = dim.select(*dict.fromkeys([on[1], *take.values()])).distinct()
     return lookup(df, Lookup(dim, {on[0]: on[1]}, take))
 
 

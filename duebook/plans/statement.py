@@ -99,6 +99,7 @@ def statement_sales(ctx: Context) -> DataFrame:
         ("name", "seller"),
         {c: c for c in SELLER_COLUMNS},
         fail_on_dup=rules.fail_on_duplicate_dimension,
+        distinct=True,
     )
     developments = branded(ctx, r.read("development", "development_id", "name"), *BRAND_COLUMNS)
     rows = lookup_chain(
@@ -184,4 +185,4 @@ def statement_sales(ctx: Context) -> DataFrame:
         "last_paid_amount",
         only_if_known(overdue_days, F.col("promised_on")).alias("promised_on"),
     )
-    return dedupe(doubles(report, AMOUNTS))
+    return ctx.at_size(dedupe(doubles(report, AMOUNTS)))

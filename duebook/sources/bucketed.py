@@ -8,8 +8,7 @@ they fit each other.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from duebook.operators.joins import HEAVY_ROWS, heavy_keys
-from duebook.session import SHUFFLE_PARTS
+from duebook.session import shuffling_in
 from duebook.sinks.writer import shared_folder
 from duebook.sources.registry import Entity, Registry, System
 
@@ -36,17 +35,6 @@ class WrittenStore:
         return spark.read.schema(schema).parquet(path)
 
 
-@contextmanager
-def shuffling_in(spark: SparkSession, parts: int) -> Iterator[None]:
-    """Jobs started inside shuffle in ``parts`` parts, or in the session's number where that is larger."""
-    before = spark.conf.get(SHUFFLE_PARTS)
-    spark.conf.set(SHUFFLE_PARTS, str(max(parts, int(before))))
-    try:
-        yield
-    finally:
-        spark.conf.set(SHUFFLE_PARTS, before)
-
-
 def bucketed(
     registry: Registry,
     keys: Mapping[str, str],

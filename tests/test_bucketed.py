@@ -2,6 +2,7 @@
 
 from collections import Counter
 from dataclasses import dataclass, replace
+from datetime import datetime
 
 import pytest
 
@@ -9,13 +10,15 @@ from pyspark.sql import functions as F
 
 from duebook.operators.aging import aging
 from duebook.operators.grouping import latest_by
+from duebook.plans import statement
 from duebook.plans.statement import latest_payments
 from duebook.sources.bucketed import bucketed
 from duebook.sources.registry import Entity, Registry, System
 from duebook.sources.stores import FileStore
 from duebook.session import SHUFFLE_PARTS, shuffle_partitions
 from workload import queries
-from workload.fixture import AS_OF, systems_context
+from workload.fixture import AS_OF, SCHEMAS, systems_context
+from workload.queries import QUERIES
 
 INSTALMENT = ("sale_id", "kind", "number", "due_on", "billed", "balance")
 
@@ -124,3 +127,48 @@ def test_buckets_grow_with_the_table(spark, tmp_path, monkeypatch):
     # As the checked queries have it: half a million rows to a part.
     monkeypatch.undo()
     assert shuffle_partitions(queries.LINE_BYTES * 36_000_000, queries.PART_BYTES) == 69
+
+
+def _report_tables(spark, root, copies=1):
+    """Forty sales with an instalment line each, and as many copies of their one seller under ids of their own."""
+
+    def write(name, rows):
+        spark.createDataFrame(rows, SCHEMAS[name]).coalesce(1).write.parquet(f"{root}/{name}.parquet")
+
+    day = datetime(1998, 7, 3)
+    write("region", [(0, "F"), (1, "eur"), (2, "P")])
+    write("nation", [(0, "NATION_0", 0)])
+    write("customer", [(1, "Customer#1", 0, 1.0, "BUILDING")])
+    write("supplier", [(i * 50, "Supplier#1", 0, 1.0) for i in range(copies)])
+    write("part", [(1, "part", "brand", "type", 0, 1.0)])
+    sales = range(0, 2000, 50)  # all of seller 0
+    write("orders", [(i, 1, "O", 9.0, day, "1-URGENT" if i % 100 else "5-LOW") for i in sales])
+    write("lineitem", [(i, 1, 1, 1, 10.0, 2.0, 0.0, 0.0, "A", "O", day) for i in sales])
+    write("events", [(i, day, i, "click", 1.0, "") for i in sales])
+
+
+@pytest.mark.parametrize("name", ["report_statement_sales_systems"])
+def test_shuffles_of_the_reports_grow_with_the_table(name, spark, tmp_path, uncoalesced, monkeypatch):
+    _report_tables(spark, tmp_path)
+    monkeypatch.setattr(queries, "PART_BYTES", queries.LINE_BYTES)  # a part for each line: 40, the session has 8
+    sc, before = spark.sparkContext, spark.conf.get(SHUFFLE_PARTS)
+    sc.setJobGroup(f"grows-{name}", name)
+    report = QUERIES[name](spark, str(tmp_path))
+    # What is left to run reads the written report: no dedupe, and no join.
+    left = report._jdf.queryExecution().executedPlan().toString()
+    sc.setJobGroup("other", "other")
+    assert "Aggregate" not in left and "Join" not in left
+    status = sc.statusTracker()
+    stages = [s for j in status.getJobIdsForGroup(f"grows-{name}") for s in status.getJobInfo(j).stageIds]
+    tasks = Counter(found.numTasks for s in stages if (found := status.getStageInfo(s)))
+    assert tasks[40] and not tasks[int(before)] and spark.conf.get(SHUFFLE_PARTS) == before
+    assert report.count() == 40
+
+
+def test_copies_of_a_seller_do_not_repeat_the_sales_of_a_statement(spark, tmp_path, monkeypatch):
+    _report_tables(spark, tmp_path, copies=30)
+    rows = QUERIES["report_statement_sales"](spark, str(tmp_path)).collect()
+    assert len(rows) == 40 and {r["branch"] for r in rows} == {"NATION_0"}
+    # The rows that reach the dedupe: each sale once, not once for each copy.
+    monkeypatch.setattr(statement, "dedupe", lambda df: df)
+    assert QUERIES["report_statement_sales"](spark, str(tmp_path)).count() == 40

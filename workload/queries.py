@@ -948,6 +948,7 @@ def _(spark, sf):
 
 # Several systems: the tables that reports group by sale are written bucketed, as many parts as a shuffle has,
 # and more where they would be large: each of these entities has a row for each of the table's, counted in its footers.
+# The reports' own joins and dedupes shuffle in as many parts.
 
 LINE_BYTES = 64
 PART_BYTES = 32 << 20
@@ -957,7 +958,7 @@ def _bucketed(spark, sf, *entities: str):
     ctx = systems_context(spark, sf)
     expected = LINE_BYTES * table(spark, sf, "lineitem").count()
     buckets = shuffle_partitions(expected, PART_BYTES, floor=int(spark.conf.get(SHUFFLE_PARTS)))
-    return replace(ctx, registry=bucketed(ctx.registry, dict.fromkeys(entities, "sale_id"), buckets))
+    return replace(ctx, registry=bucketed(ctx.registry, dict.fromkeys(entities, "sale_id"), buckets), parts=buckets)
 
 
 @query("report_statement_sales_systems")
