@@ -144,7 +144,7 @@ def income_sales(ctx: Context, grain: str = "payment") -> DataFrame:
         "bank",
         "assigned_by",
     )
-    return sort_created(dedupe(report), "created_on", ["payment_id", "sale_id"])
+    return sort_created(ctx.at_size(dedupe(report)), "created_on", ["payment_id", "sale_id"])
 
 
 def income_by_concept(ctx: Context) -> DataFrame:

@@ -147,7 +147,7 @@ def _report_tables(spark, root, copies=1):
     write("events", [(i, day, i, "click", 1.0, "") for i in sales])
 
 
-@pytest.mark.parametrize("name", ["report_statement_sales_systems"])
+@pytest.mark.parametrize("name", ["report_statement_sales_systems", "report_income_sales_systems"])
 def test_shuffles_of_the_reports_grow_with_the_table(name, spark, tmp_path, uncoalesced, monkeypatch):
     _report_tables(spark, tmp_path)
     monkeypatch.setattr(queries, "PART_BYTES", queries.LINE_BYTES)  # a part for each line: 40, the session has 8
