@@ -9,8 +9,9 @@ link, so that it gives as many edges as it has members. Within the connected gro
 are filtered by their sizes and their whole prefixes, and the pairs that remain are expanded to their
 members and verified on whole sets, unless these are already connected.
 
-The order is by hashed counts: n-grams of a place of ``counters`` share one count, of fixed size
-whatever the corpus. Any order finds every link; rare first keeps common passages out of prefixes.
+The order is by counts over the whole corpus: those of more rows than a short list has enter a table that
+grows with their number, up to a bound; where two meet in a place the larger count holds, and the rest count
+as rare. Any order finds every link; rare first keeps common passages out of prefixes.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; documents with equal
 sets are one class from the start; rows of one id with different texts are judged by their own
@@ -42,13 +43,17 @@ class PrefixJoin:
     """``percent``: sets are linked if 100 * intersection >= percent * union.
 
     A task verifies at most two blocks of ``block_grams`` n-grams and ``block_members`` sets (a
-    longer set stands alone) of a connected part.
+    longer set stands alone) of a connected part. The table of common n-grams has 2^``counter_bits``
+    places, or more, up to 2^``most_counter_bits``; they are counted in 2^``chunk_bits`` chunks, from
+    sorted runs of ``run_grams``.
     """
 
     percent: int = 85
     size: int = 4
     counter_bits: int = 22
-    chunk_bits: int = 16
+    most_counter_bits: int = 26
+    chunk_bits: int = 10
+    run_grams: int = 4_000_000
     short_list: int = 8
     held_pairs: int = 250_000
     block_grams: int = 1_000_000
@@ -72,55 +77,120 @@ def _counter(grams: np.ndarray, bits: int) -> np.ndarray:
     return (grams >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _counts(p: PrefixJoin):
-    """A task's counts of n-grams by hashed place, in compressed chunks."""
+def _packed(numbers: np.ndarray) -> bytes:
+    """Sorted 32-bit numbers as steps: their low bytes plainly, the high ones, mostly zeros, compressed."""
+    steps = np.diff(numbers, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return steps[:2].tobytes() + zlib.compress(steps[2:].tobytes(), 1)
+
+
+def _unpacked(packed: bytes, length: int) -> np.ndarray:
+    low, high = np.frombuffer(packed, np.uint8, 2 * length), zlib.decompress(memoryview(packed)[2 * length :])
+    steps = np.concatenate([low, np.frombuffer(high, np.uint8)]).reshape(4, length)
+    return np.cumsum(np.ascontiguousarray(steps.T).view("<u4")[:, 0], dtype=np.uint32)
+
+
+def _places(p: PrefixJoin):
+    """A task's n-grams, once for each row that has them, as runs of sorted places in packed chunks."""
+    cuts = np.arange(1, 1 << p.chunk_bits, dtype=np.uint64) << np.uint64(64 - p.chunk_bits)
+
+    def chunks(held: list[np.ndarray]) -> pa.RecordBatch:
+        grams = np.sort(np.concatenate(held))
+        at = [0, *np.searchsorted(grams, cuts).tolist(), len(grams)]
+        places = (grams >> np.uint64(32 - p.chunk_bits)).astype(np.uint32)  # 32 bits beyond those of the chunk
+        filled = [k for k in range(len(at) - 1) if at[k + 1] > at[k]]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(filled, pa.int64()),
+                pa.array([at[k + 1] - at[k] for k in filled], pa.int64()),
+                pa.array([_packed(places[at[k] : at[k + 1]]) for k in filled], pa.binary()),
+            ],
+            ["chunk", "length", "places"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << p.counter_bits, np.uint32)
+        held, total = [], 0
         for batch in slices(batches, "text"):
-            places, found = np.unique(_counter(_sets(batch, p.size)[0], p.counter_bits), return_counts=True)
-            counts[places] += found.astype(np.uint32)
-        for chunk, part in enumerate(counts.reshape(-1, 1 << min(p.chunk_bits, p.counter_bits))):
-            if part.any():
-                packed = zlib.compress(part.tobytes(), 1)
-                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([packed], pa.binary())], ["chunk", "counts"])
+            grams = _sets(batch, p.size)[0]
+            held.append(grams)
+            total += len(grams)
+            if total >= p.run_grams:
+                yield chunks(held)
+                held, total = [], 0
+        if total:
+            yield chunks(held)
+
+    return run
+
+
+def _common(p: PrefixJoin):
+    """The places of each chunk with more rows than a short list has, with one byte for the number: four steps
+    for each doubling."""
+
+    def found(chunk: int, runs: list[np.ndarray]) -> pa.RecordBatch:
+        places = np.sort(np.concatenate(runs))
+        starts = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
+        counts = np.diff(np.r_[starts, len(places)])
+        often = counts > p.short_list
+        level = np.minimum(255, np.rint(4 * np.log2(counts[often]))).astype(np.uint8)
+        rows = [pa.array([chunk]), pa.array([len(level)])]
+        packed = [places[starts[often]].astype("<u4").tobytes(), level.tobytes()]
+        return pa.RecordBatch.from_arrays([*rows, *[pa.array([x], pa.binary()) for x in packed]], ["chunk", "length", "places", "levels"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, runs = None, []
+        for batch in batches:
+            for chunk, length, packed in zip(*[batch.column(c).to_pylist() for c in ("chunk", "length", "places")], strict=True):
+                if chunk != at and runs:
+                    yield found(at, runs)
+                    runs = []
+                at = chunk
+                runs.append(_unpacked(packed, length))
+        if runs:
+            yield found(at, runs)
 
     return run
 
 
-def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Summed chunks as one byte a place: four steps for each doubling of the count."""
+def _level_parts(p: PrefixJoin, bits: int):
+    """From the common places, each chunk's part of the table of ``bits``: the largest level of a place."""
 
-    def level(total: np.ndarray) -> bytes:
-        return zlib.compress(np.minimum(255, np.rint(4 * np.log2(total + 1))).astype(np.uint8).tobytes(), 6)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, places, levels in zip(*[batch.column(c).to_pylist() for c in ("chunk", "places", "levels")], strict=True):
+                inner = max(0, bits - p.chunk_bits)
+                part = np.zeros(1 << inner, np.uint8)
+                at = np.frombuffer(places, "<u4").astype(np.uint64) >> np.uint64(32 - inner)
+                np.maximum.at(part, at.astype(np.int64), np.frombuffer(levels, np.uint8))
+                start = (chunk << inner) >> max(0, p.chunk_bits - bits)
+                packed = zlib.compress(part.tobytes(), 1)
+                yield pa.RecordBatch.from_arrays([pa.array([start]), pa.array([packed], pa.binary())], ["start", "levels"])
 
-    at, total = None, None
-    for batch in batches:
-        for chunk, packed in zip(*[batch.column(c).to_pylist() for c in ("chunk", "counts")], strict=True):
-            part = np.frombuffer(zlib.decompress(packed), np.uint32).astype(np.float64)
-            if chunk != at:
-                if at is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([level(total)], pa.binary())], ["chunk", "levels"])
-                at, total = chunk, part
-            else:
-                total = total + part
-    if at is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([level(total)], pa.binary())], ["chunk", "levels"])
+    return run
 
 
 def gram_levels(texts: DataFrame, p: PrefixJoin) -> np.ndarray:
-    """How common the n-grams of each hashed place are, one byte a place, over all texts."""
-    parts = texts.mapInArrow(_counts(p), "chunk long, counts binary")
-    summed = parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_levels, "chunk long, levels binary")
-    levels = np.zeros(1 << p.counter_bits, np.uint8)
-    width = 1 << min(p.chunk_bits, p.counter_bits)
-    for row in summed.collect():
-        levels[row["chunk"] * width : (row["chunk"] + 1) * width] = np.frombuffer(zlib.decompress(row["levels"]), np.uint8)
+    """How common the n-grams of each hashed place are, one byte a place, over all texts.
+
+    All n-grams are counted, in 2^(32 + chunk_bits) places that never meet in one task. Only those with more rows
+    than a short list enter the table, which grows with their number, so that most rare ones keep 0.
+    """
+    runs = texts.mapInArrow(_places(p), "chunk long, length long, places binary")
+    dealt = runs.repartition("chunk").sortWithinPartitions("chunk")
+    common = stage(dealt.mapInArrow(_common(p), "chunk long, length long, places binary, levels binary"), "prefix-common")
+    common = common.where("length > 0")
+    total = common.agg(F.sum("length")).first()[0] or 0
+    bits = min(max(p.counter_bits, int(4 * total).bit_length()), max(p.counter_bits, p.most_counter_bits))
+    levels = np.zeros(1 << bits, np.uint8)
+    for row in common.mapInArrow(_level_parts(p, bits), "start long, levels binary").collect():
+        part = np.frombuffer(zlib.decompress(row["levels"]), np.uint8)
+        own = levels[row["start"] : row["start"] + len(part)]
+        np.maximum(own, part, out=own)
     return levels
 
 
-def ordered(grams: np.ndarray, levels: np.ndarray, bits: int) -> np.ndarray:
+def ordered(grams: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """N-grams as numbers in the global order: the level of the place first, then a hash."""
+    bits = len(levels).bit_length() - 1
     return (levels[_counter(grams, bits)].astype(np.uint64) << np.uint64(56)) | (mix(grams, 5) >> np.uint64(8))
 
 
@@ -133,7 +203,7 @@ def _prefixes(p: PrefixJoin, levels: np.ndarray):
             sets, pointers = _sets(batch, p.size)
             d1, d2 = set_digests(sets, pointers)
             n = np.diff(pointers)
-            order = ordered(sets, levels, p.counter_bits)
+            order = ordered(sets, levels)
             lengths = p.prefix(n) * (n > 0)
             parts = [
                 np.sort(order[a:b])[:m] for a, b, m in zip(pointers[:-1].tolist(), pointers[1:].tolist(), lengths.tolist(), strict=True)
@@ -297,7 +367,7 @@ def _verify(p: PrefixJoin, levels: np.ndarray, sets: list, group: np.ndarray, le
     sizes = np.array([len(s) for s in sets], np.int64)
     lengths = p.prefix(sizes)
     _, first, local = np.unique(group, return_index=True, return_inverse=True)
-    prefixes = [np.sort(ordered(sets[r], levels, p.counter_bits))[: lengths[r]] for r in first.tolist()]
+    prefixes = [np.sort(ordered(sets[r], levels))[: lengths[r]] for r in first.tolist()]
     n, width = sizes[first], lengths[first]
     last = np.array([x[-1] for x in prefixes], np.uint64)
     sides = [np.zeros(len(first), bool) for _ in range(2)]
